@@ -19,8 +19,27 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.simhash import near_duplicates
+
+    found = near_duplicates(spark, _table(spark, sf_dir, "documents"), width=3, radius=2).assignments
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.common import fold
+    from strata.llm.toxicity import REJECT_AT, score_toxicity, train_toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(spark, docs, _table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= REJECT_AT).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
