@@ -19,10 +19,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import Scratch, fold
 
@@ -120,7 +120,7 @@ def _counts(train: DataFrame) -> DataFrame:
             [pa.array([*used, -1], pa.int32()), pa.array([*(parts[:, k].tobytes() for k in used), seen.tobytes()], pa.binary())], ["block", "held"]
         )
 
-    def add(key, table: pa.Table) -> pa.Table:
+    def add(key, table):
         held = sum(np.frombuffer(x.as_py(), dtype=np.int64) for x in table.column("held"))
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "held": pa.array([held.tobytes()], pa.binary())})
 
@@ -206,10 +206,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "te
 
     shared = docs.sparkSession.sparkContext.broadcast((model.position, model.weights, model.bias))
 
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
+    def scored(batches):
         own = ToxicityModel(*shared.value)
-        values = text.tolist()
-        return pd.Series(np.concatenate([np.zeros(0), *(own.score(values[k : k + 128]) for k in range(0, len(values), 128))]))
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            found = [own.score(texts.slice(k, 128).to_pylist()) for k in range(0, batch.num_rows, 128)]
+            score = pa.array(np.concatenate([np.zeros(0), *found]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], [*batch.schema.names[:-1], score_col])
 
-    return docs.withColumn(score_col, scored(F.col(text_col)))
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
+    return docs.select("*", F.col(text_col).alias("__text")).mapInArrow(scored, schema)
