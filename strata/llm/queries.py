@@ -12,6 +12,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.source_mixing import mix_sources
+
+    mixed = mix_sources(spark, _table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.exact_dedup import exact_dedup
 
@@ -26,6 +33,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.best_fit_packing import pack_documents
+
+    return pack_documents(spark, _table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.common import fold
     from strata.llm.toxicity import REJECT_AT, score_toxicity, train_toxicity
@@ -38,7 +53,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op6_source_mixing": op6_source_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
 
