@@ -6,7 +6,7 @@ that the largest inner products are the smallest distances.  Vectors are dealt t
 direction, one array of the vectors sorted by projection.  A query opens a window around its own
 projection in every array and widens all of them by virtual rehashing (radius 1, c, c^2, ...), with
 no other index per radius; a vector found in at least ``THRESHOLD`` of the windows is a candidate.
-Widening stops once ``neighbours + SHARE * shard`` candidates are there; all of them are verified by
+Widening stops once ``neighbours + LEAST + SHARE * shard`` candidates are there; all of them are verified by
 their exact inner product on the original vectors, and the best of all shards are merged.
 
 The index holds every row.  Queries meet shards in blocks of about ``BLOCK``: queries are a stated
@@ -31,6 +31,8 @@ SHARD, BLOCK = 8192, 1024
 PROJECTIONS, THRESHOLD = 96, 60
 #: Share of a shard that is verified at least, and the factor between radii.
 SHARE, WIDEN = 0.2, 1.1
+#: Candidates verified at least, beside the share.
+LEAST = 200
 #: The first radius, in units of the largest norm.
 FIRST = 0.7
 SEED = 11
@@ -71,7 +73,7 @@ class Shard:
             radius *= WIDEN
 
     def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        found = self.candidates(query, min(len(self.ids), k + 1 + int(SHARE * len(self.ids))))
+        found = self.candidates(query, min(len(self.ids), k + LEAST + int(SHARE * len(self.ids))))
         found = found[self.ids[found] != query_id]
         # Summed row by row: equal vectors get equal products.
         score = (self.vectors[found] * query).sum(axis=1)
