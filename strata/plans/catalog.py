@@ -103,9 +103,9 @@ def snapshot_key_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show(mvcc.Snapshot(_versions(spark, sf_dir), READ_AT).scan(key_only=True).drop("error"))
 
 
-@query("snapshot_point_get", f"WITH {NOISY}, {_seen(READ_AT)} SELECT key, value, commit_ts FROM seen WHERE key = '{5:016X}'")
+@query("snapshot_point_get", f"WITH {NOISY}, {_seen(READ_AT)} SELECT key, value, commit_ts FROM seen WHERE key = '{7:016X}'")
 def snapshot_point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show(mvcc.Snapshot(_versions(spark, sf_dir), READ_AT).get(_bytes(5)).drop("error"))
+    return _show(mvcc.Snapshot(_versions(spark, sf_dir), READ_AT).get(_bytes(7)).drop("error"))
 
 
 @query("snapshot_batch_get", f"WITH {NOISY}, {_seen(READ_AT)} SELECT key, value, commit_ts FROM seen WHERE key IN (SELECT printf('%016X', c_custkey) FROM customer WHERE c_custkey % 3 = 0)")
