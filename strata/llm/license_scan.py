@@ -94,7 +94,8 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id
     ``unit`` is the line's number from 0, or -1 for the whole document; ``template`` the place in the list.
     """
     own = [(k, name, template_bigrams(text)) for k, (name, text) in enumerate(templates)]
-    low, high = least / (2 - least), (2 - least) / least
+    # A little wider than the bounds, which rounding may otherwise put below a size that reaches them exactly.
+    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
     fewest, most = min(len(b) for _, _, b in own) * low, max(len(b) for _, _, b in own) * high
     listed = spark.createDataFrame([(k, name, len(b), x) for k, name, b in own for x in b], "template int, license string, size int, bigram string")
 
