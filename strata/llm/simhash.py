@@ -5,8 +5,9 @@ exclusive-or and bit counts, and pairs of tiles whose population counts differ b
 radius never meet.  For a radius of at most 3 the tiles are first parted by bands: the 64 bits form
 ``radius + 2`` bands, two linked fingerprints agree in at least two of them, so only tiles that
 share two bands are compared and no link is lost.  For a larger radius every tile pair within the
-radius of population counts is compared: exact, but the square of the distinct fingerprints.  A tile
-pair reports a spanning forest of its links, never all pairs, so large groups cost no square in rows.
+radius of population counts is compared: exact, but the square of the distinct fingerprints, which
+``ratio`` lessens: texts whose numbers of distinct shingles are further apart than this ratio cannot be
+as similar as that, and meet only if they lie in one of the overlapping ranges of sizes.  A tile pair reports a spanning forest of its links, never all pairs, so large groups cost no square in rows.
 
 ``words`` > 1 makes wider fingerprints: the first 64 bits are compared as above, and a link must
 also hold ``wide_radius`` over all ``64 * words`` bits, which sharpens the threshold.
@@ -37,7 +38,7 @@ TILE = 4096
 CHUNK = 1 << 15
 #: A near-duplicate stage: five words; a Jaccard similarity of 0.8 turns 15.2 % of the bits, on average
 #: 38.8 of 256 with a deviation of 5.7, and 9.7 of the first 64 with a deviation of 2.9.
-NEAR_FIVE_WORDS = {"width": 5, "words": 4, "radius": 16, "wide_radius": 43}
+NEAR_FIVE_WORDS = {"width": 5, "words": 4, "radius": 16, "wide_radius": 43, "ratio": 0.8, "tile": 1 << 14}
 
 
 def shingles(text: str | None, width: int) -> list[bytes]:
@@ -63,8 +64,11 @@ def _spread(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def signatures(texts: list[str | None], width: int, words: int = 1) -> np.ndarray:
-    """A row of ``words`` 64-bit numbers a text: bit b is set if it is set in over half of the shingles' hashes."""
+def signatures(texts: list[str | None], width: int, words: int = 1, sizes: list[int] | None = None) -> np.ndarray:
+    """A row of ``words`` 64-bit numbers a text: bit b is set if it is set in over half of the shingles' hashes.
+
+    ``sizes`` gets the number of distinct shingles of each text.
+    """
     digest = xxhash.xxh64_intdigest
     counts = np.zeros((len(texts), 64 * words), dtype=np.int64)
     totals = np.zeros(len(texts), dtype=np.int64)
@@ -81,6 +85,8 @@ def signatures(texts: list[str | None], width: int, words: int = 1) -> np.ndarra
     for row, text in enumerate(texts):
         parts = shingles(text, width)
         totals[row] = len(parts)
+        if sizes is not None:
+            sizes.append(len(set(parts)))
         for k in range(0, len(parts), CHUNK):
             owners.append(row)
             starts.append(len(held))
@@ -91,19 +97,21 @@ def signatures(texts: list[str | None], width: int, words: int = 1) -> np.ndarra
     return np.packbits(2 * counts > totals[:, None], axis=1, bitorder="little").view("<u8").reshape(len(texts), words)
 
 
-def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, width: int, words: int = 1) -> DataFrame:
-    """(doc_id, fp, wide) for every row; ``wide`` holds the words after the first."""
+def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, width: int, words: int = 1, sized: bool = False) -> DataFrame:
+    """(doc_id, fp, wide, size) for every row; ``wide`` holds the words after the first; size is 0 unless ``sized``."""
 
     def run(batches):
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch = whole.slice(lo, 256)
-                found = signatures(batch.column(1).to_pylist(), width, words)
+                sizes: list[int] = []
+                found = signatures(batch.column(1).to_pylist(), width, words, sizes if sized else None)
+                size = pa.array(sizes if sized else [0] * batch.num_rows, pa.int64())
                 wide = pa.array([row.tobytes() for row in found[:, 1:]], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found[:, 0].view(np.int64)), wide], ["doc_id", "fp", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found[:, 0].view(np.int64)), wide, size], ["doc_id", "fp", "wide", "size"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long, wide binary")
+    return rows.mapInArrow(run, "doc_id long, fp long, wide binary, size long")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int, within: bool) -> tuple[list[int], list[int]]:
@@ -150,9 +158,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(fps: DataFrame, scratch: Scratch, *, radius: int, wide_radius: int = 0, tile: int = TILE) -> DataFrame:
-    """(u, v) links between the ``rep`` ids of distinct (rep, fp, wide) rows: spanning forests, tile pair by tile pair."""
+def links(fps: DataFrame, scratch: Scratch, *, radius: int, wide_radius: int = 0, tile: int = TILE, ratio: float | None = None) -> DataFrame:
+    """(u, v) links between the ``rep`` ids of distinct (rep, fp, wide, size) rows: spanning forests, tile pair by tile pair."""
     keys = F.array(*[F.struct(F.lit(k).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("value")) for k, m in enumerate(_bands(radius))])
+    if ratio:
+        # Two neighbouring ranges of sizes make one value, so sizes within the ratio share one at least.
+        near = F.floor(F.log(F.greatest("size", F.lit(1))) / float(-np.log(ratio)))
+        keys = F.array(*[F.struct(F.lit(0).alias("mask"), (near + k).alias("value")) for k in (0, 1)])
     rows = fps.select(F.struct("rep", "fp", "wide").alias("x"), F.bit_count("fp").alias("pop"), F.explode(keys).alias("k")).select("x", "pop", "k.mask", "k.value")
     # How many tiles each population count of each band value needs; at most 65 entries a value.
     sizes = (
@@ -199,8 +211,7 @@ def links(fps: DataFrame, scratch: Scratch, *, radius: int, wide_radius: int = 0
                 vs.append(ids_b[j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).astype(np.int64)) for z in (us, vs)], ["u", "v"])
 
-    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return small.where("size(a) > 1").unionByName(pairs).repartition(n).mapInArrow(run, "u long, v long")
+    return small.where("size(a) > 1").unionByName(pairs).mapInArrow(run, "u long, v long")
 
 
 @dataclass
@@ -228,14 +239,19 @@ class NearDuplicates:
 
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    width: int = 3, radius: int = 2, words: int = 1, wide_radius: int = 0, tile: int = TILE,
+    width: int = 3, radius: int = 2, words: int = 1, wide_radius: int = 0, tile: int = TILE, ratio: float | None = None,
 ) -> NearDuplicates:
-    """Fingerprint every whole text, link within ``radius`` bits, label components by their smallest id."""
+    """Fingerprint every whole text, link within ``radius`` bits, label components by their smallest id.
+
+    ``ratio`` needs a radius above 3, where no bands part the fingerprints.
+    """
+    if ratio and radius <= 3:
+        raise ValueError("ratio is for a radius above 3")
     scratch = Scratch(spark, "simhash")
-    fps = scratch.save(fingerprints(docs, id_col=id_col, text_col=text_col, width=width, words=words), "fps")
-    reps = scratch.save(fps.groupBy("fp", "wide").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "reps")
-    edges = scratch.save(links(reps, scratch, radius=radius, wide_radius=wide_radius, tile=tile).distinct(), "links")
+    fps = scratch.save(fingerprints(docs, id_col=id_col, text_col=text_col, width=width, words=words, sized=bool(ratio)), "fps")
+    reps = scratch.save(fps.groupBy("fp", "wide", "size").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "reps")
+    edges = scratch.save(links(reps, scratch, radius=radius, wide_radius=wide_radius, tile=tile, ratio=ratio).distinct(), "links")
     roots = connected_components(edges, scratch)
-    labelled = scratch.save(reps.join(roots, reps["rep"] == roots["node"], "left").select("fp", "wide", F.coalesce("root", "rep").alias("component_id")), "labelled")
-    result = fps.join(labelled, ["fp", "wide"], "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    labelled = scratch.save(reps.join(roots, reps["rep"] == roots["node"], "left").select("fp", "wide", "size", F.coalesce("root", "rep").alias("component_id")), "labelled")
+    result = fps.join(labelled, ["fp", "wide", "size"], "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     return NearDuplicates(scratch.save(result, "assignments"), id_col)
