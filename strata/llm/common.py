@@ -38,6 +38,14 @@ def fold(doc_id: Column | str, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Tables written once into the cluster's shared folder and read back.
 

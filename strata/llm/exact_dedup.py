@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, ascii_lower, bloom_words, might_contain, pieces
+from strata.llm.common import Scratch, ascii_lower, bloom_words, might_contain, pieces, unused
 
 #: Rows of one memtable, and the most memtables of one flush.
 MEMTABLE_ROWS = 1 << 17
@@ -78,11 +78,12 @@ class ExactDedup:
         """The rows of ``docs`` that stay; only documents that may have a copy are shuffled."""
         may = might_contain(self.hits, F.col(self.id_col))
         alone = docs.where(~may)
-        some = docs.where(may).withColumn("__digest", F.unhex(F.sha2(ascii_lower(self.text_col), 256)))
-        stay = self.assignments.where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), F.col("same_id").alias("__same"))
-        found = some.join(stay, some[self.id_col].eqNullSafe(stay["__id"]) & (some["__digest"] == stay["__d"]))
-        once = found.where("__same = 1").select(*docs.columns)
-        again = found.where("__same > 1").dropDuplicates(["__id", "__d"]).select(*docs.columns)
+        digest, own_id, own_digest, same = (unused(docs, c) for c in ("digest", "own_id", "own_digest", "same"))
+        some = docs.where(may).withColumn(digest, F.unhex(F.sha2(ascii_lower(self.text_col), 256)))
+        stay = self.assignments.where("kept").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), F.col("same_id").alias(same))
+        found = some.join(stay, some[self.id_col].eqNullSafe(stay[own_id]) & (some[digest] == stay[own_digest]))
+        once = found.where(F.col(same) == 1).select(*docs.columns)
+        again = found.where(F.col(same) > 1).dropDuplicates([own_id, own_digest]).select(*docs.columns)
         return alone.unionByName(once).unionByName(again)
 
 

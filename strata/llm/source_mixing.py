@@ -161,9 +161,9 @@ def _with_copies(rows: DataFrame, plan: DataFrame, id_col: str) -> DataFrame:
 
 def mix_sources(
     spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights=WEIGHTS, cap: int = CAP, carry: bool = False,
+    weights=WEIGHTS, cap: int = CAP, carry: str | None = None,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies), or ``docs`` with ``__copies`` if ``carry``."""
+    """(doc_id, source, size, source_size, target, copies), or ``docs`` with the copies in a further column named ``carry``."""
     scratch = Scratch(spark, "mixing")
     sized = scratch.save(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "sized")
     cells = scratch.save(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
@@ -171,8 +171,9 @@ def mix_sources(
     planned = scratch.save(_copies(cells, _solve(cells, targets, scratch, cap), targets, cap), "planned")
     plan = _plan(sized, planned, scratch)
     if carry:
-        rows = docs.withColumns({"__source": F.col(source_col), "__size": word_count(text_col)})
-        return _with_copies(rows, plan, id_col).select(*docs.columns, "__copies")
+        # The document travels as one column, so that no name of its own can clash.
+        rows = docs.select(F.struct("*").alias("document"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("__source"), word_count(text_col).alias("__size"))
+        return _with_copies(rows, plan, "doc_id").select("document.*", F.col("__copies").alias(carry))
     rows = sized.select("doc_id", F.col("source").alias("__source"), F.col("size").alias("__size"))
     found = _with_copies(rows, plan, "doc_id")
     t = targets.select(F.col("source").alias("t"), "source_size", "target")

@@ -11,7 +11,7 @@ Only text is an input of a score.  Rows whose crc32(id as text) mod 3 is 1 never
 Defined cases: a null or blank text has no features and gets the score of the bias; null ids are
 scored and count as the empty text for the split; rows with a null label are ignored; repeated
 labelled rows count again; no labelled rows of one kind give the constant share of the other; extra
-columns are kept; an empty table gives an empty result.
+columns are kept, but one with the score's name is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -202,6 +202,7 @@ def train_toxicity(
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text; the model (6 MB at most) travels with the tasks."""
 
+    docs = docs.drop(score_col)
     shared = docs.sparkSession.sparkContext.broadcast((model.position, model.weights, model.bias))
 
     def scored(batches):
