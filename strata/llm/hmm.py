@@ -7,8 +7,9 @@ recursion over the classes plus the sum of the tokens' shares is the model's exa
 
 Baum-Welch: every round runs forward and backward over all training texts, cut into stretches of
 ``STRETCH`` tokens, in every partition; expected counts are added across partitions and only the
-sums (classes x states numbers) reach the driver.  Token counts cover all training texts; they reach
-the scorer joined to the distinct tokens of each chunk of texts, never as a whole.
+sums (classes x states numbers) reach the driver.  Token counts cover all training texts: the distinct
+tokens of each chunk of texts meet once by token, where their counts are summed, and go back to their
+chunk as numbers, never as a whole vocabulary.  A token has at most one row a chunk, however frequent.
 
 Rows of which crc32(id as text) mod 5 is 1 are held out of all counts.
 
@@ -33,7 +34,7 @@ CLASSES = 1 << 14
 ROUNDS = 6
 STRETCH = 48
 #: Bytes of text in a chunk, about, and the token that ends a text (no word holds a space).
-CHUNK = 4 << 20
+CHUNK = 16 << 20
 END = b" "
 
 
@@ -82,7 +83,7 @@ def _chunks(batches, start: int):
             size += len(words)
             tokens = np.fromiter(map(number_of, [*words.split(), END]), dtype="<i4")
             texts.append((doc_id.as_py(), held.as_py(), tokens))
-            if size >= CHUNK or len(texts) >= 8192:
+            if size >= CHUNK or len(texts) >= 32768:
                 yield from flush()
                 local.clear(), classes.clear(), counts.clear(), texts.clear()
                 size, number = 0, number + 1
@@ -229,15 +230,20 @@ def score_texts(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id",
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of whole texts."""
     scratch = Scratch(spark, "hmm")
     texts, words = encode(docs, scratch, id_col=id_col, text_col=text_col)
-    counts = scratch.save(words.groupBy("word", "class").agg(F.sum("n").alias("c")).where("c > 0"), "counts")
-    per_class = counts.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # at most CLASSES rows
+    from pyspark.sql import Window
+
+    # One shuffle by token gives every chunk's token its count over all chunks; ``first`` marks one row a token.
+    same = Window.partitionBy("word")
+    counted = words.select("chunk", F.col("number").cast("int").alias("number"), "class", "n", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"))
+    counted = scratch.save(counted, "counted")
+    per_class = counted.groupBy("class").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("first") & (F.col("c") > 0), 1).otherwise(0)).alias("v")).collect()  # at most CLASSES rows
     table = np.zeros((2, CLASSES), dtype=np.int64)
     for r in per_class:
         table[:, r["class"]] = r["n"], r["v"]
     total, distinct = int(table[0].sum()), int(table[1].sum())
     model = baum_welch(spark, texts, table[0].astype(float), states=states, rounds=rounds)
     shared = spark.sparkContext.broadcast((model.start, model.move, model.emit, table[0] + 0.5 * (table[1] + 1)))
-    known = words.join(counts.select("word", "c"), "word", "left").select("chunk", "number", "class", F.coalesce("c", F.lit(0)).cast("long").alias("c"))
+    known = counted.select("chunk", "number", "class", "c")
 
     def score(texts, words):
         start, move, emit, size = shared.value
@@ -248,7 +254,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id",
         base = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
         within = np.log10((c + 0.5) / size[cls])
         tokens = [np.frombuffer(b, "<i4") for b in texts.column("tokens").to_pylist()]
-        latent = own.score([np.frombuffer(b, "<u2") for b in texts.column("classes").to_pylist()])
+        latent = own.score([cls[t] for t in tokens])
         n = len(tokens)
         return pa.table(
             {
@@ -258,6 +264,6 @@ def score_texts(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id",
             }
         )
 
-    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+    return texts.drop("classes").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
