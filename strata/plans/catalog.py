@@ -66,6 +66,11 @@ def _locks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.locks_from_events(src.table(spark, sf_dir, "events"))
 
 
+def _history(spark: SparkSession, sf_dir: str, locks: DataFrame) -> DataFrame:
+    """All versions but the events that are locks: these transactions are still open."""
+    return _versions(spark, sf_dir).join(locks.select("key", "start_ts"), ["key", "start_ts"], "left_anti")
+
+
 def _bytes(n: int) -> bytes:
     return n.to_bytes(8, "big")
 
@@ -213,7 +218,7 @@ def prewrite_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def commit_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     locks = _locks(spark, sf_dir)
     start = locks.agg(F.max("start_ts")).first()[0]
-    return _show(transactions.commit_errors(locks.select("key"), src.versions_from_events(src.table(spark, sf_dir, "events").limit(0)), locks, start, _ts(31)))
+    return _show(transactions.commit_errors(locks.select("key"), _history(spark, sf_dir, locks), locks, start, _ts(31)))
 
 
 @query("commit_apply", f"""WITH {NOISY}, {LOCKS}, one AS (SELECT max(start_ts) AS s FROM locks) SELECT op, count(*) AS n FROM (SELECT op FROM versions UNION ALL SELECT op FROM locks, one WHERE start_ts = s) GROUP BY op""")
@@ -228,8 +233,8 @@ def commit_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollback_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     locks = _locks(spark, sf_dir)
     start = locks.agg(F.min("start_ts")).first()[0]
-    step = transactions.rollback(locks.where(F.col("start_ts") == start), _versions(spark, sf_dir).limit(0), locks, start)
-    back = step.versions.where("op = 'rollback'").select("key", F.lit("gone").alias("state"))
+    step = transactions.rollback(locks.where(F.col("start_ts") == start), _history(spark, sf_dir, locks), locks, start)
+    back = step.versions.where((F.col("op") == "rollback") & (F.col("start_ts") == start)).select("key", F.lit("gone").alias("state"))
     return _show(step.locks.select("key", F.lit("held").alias("state")).unionByName(back))
 
 
@@ -239,7 +244,7 @@ def rollback_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def txn_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     locks = _locks(spark, sf_dir)
     asked = locks.select("primary", "start_ts").distinct()
-    status = transactions.txn_status(asked, _versions(spark, sf_dir).limit(0), locks, now_ts=_ts(30, 23))
+    status = transactions.txn_status(asked, _history(spark, sf_dir, locks), locks, now_ts=_ts(30, 23))
     return _show(status.select("primary", "start_ts", F.col("ttl_ms").cast("long").alias("ttl_ms"), "action"))
 
 
@@ -249,8 +254,9 @@ def batch_resolve_lock(spark: SparkSession, sf_dir: str) -> DataFrame:
     locks = _locks(spark, sf_dir)
     c = F.when(F.col("start_ts") % 2 == 0, 0).otherwise(F.col("start_ts") + 5).alias("commit_ts")
     outcomes = locks.where("start_ts % 3 <> 0").select("start_ts", c).distinct()
-    versions, _ = transactions.resolve_locks(_versions(spark, sf_dir).limit(0), locks, outcomes)
-    return _show(versions.select("key", "commit_ts", "op"))
+    versions, _ = transactions.resolve_locks(_history(spark, sf_dir, locks), locks, outcomes)
+    # What was written now: versions of the transactions that were locks.
+    return _show(versions.join(locks.select("key", "start_ts"), ["key", "start_ts"], "left_semi").select("key", "commit_ts", "op"))
 
 
 @query("async_commit_recover", """
@@ -260,7 +266,7 @@ def async_commit_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = src.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("start_ts"), codecs.encode_uint(F.col("o_orderkey")).alias("key"), F.col("o_orderkey"))
     primaries = orders.groupBy("start_ts").agg(F.min("key").alias("primary"), F.collect_list("key").alias("secondaries"))
     locks = orders.where("o_orderkey % 13 <> 0").select("key", "start_ts", (F.col("o_orderkey") % 1000).alias("min_commit_ts"))
-    return transactions.async_commit_outcome(primaries, locks, _versions(spark, sf_dir).limit(0))
+    return transactions.async_commit_outcome(primaries, locks, _versions(spark, sf_dir))
 
 
 @query("mutation_derive", """
