@@ -38,15 +38,17 @@ def cycles(edges: DataFrame) -> DataFrame:
 
 def would_deadlock(edges: DataFrame, waiter: int, holder: int) -> DataFrame:
     """The edge by which ``waiter`` waiting for ``holder`` would close a cycle: (waiter, holder, key_hash) that leads back."""
-    frontier = [holder]
-    seen = set(frontier)
-    while frontier:
-        back = edges.where(F.col("waiter").isin(frontier) & (F.col("holder") == waiter))
+    spark = edges.sparkSession
+    frontier = seen = spark.createDataFrame([(holder,)], "txn long")
+    while True:
+        step = cut(edges.join(frontier, edges["waiter"] == frontier["txn"], "left_semi"))
+        back = step.where(F.col("holder") == waiter)
         if not back.isEmpty():
             return back.limit(1)
-        # A single request follows one transaction's waits: few, by the number of locks it can wait for.
-        frontier = [r["holder"] for r in edges.where(F.col("waiter").isin(frontier)).select("holder").distinct().limit(10_000).collect() if r["holder"] not in seen]
-        seen.update(frontier)
+        frontier = cut(step.select(F.col("holder").alias("txn")).where("txn IS NOT NULL").distinct().join(seen, "txn", "left_anti"))
+        if frontier.isEmpty():
+            break
+        seen = cut(seen.unionByName(frontier))
     return edges.limit(0)
 
 
