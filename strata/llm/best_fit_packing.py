@@ -1,13 +1,23 @@
-"""Best-fit packing of tokenised documents into sequences of bounded length.
+"""Best-fit packing of tokenised documents into sequences of bounded length, in bulk-synchronous rounds.
 
 A document's ids are followed by one end id and cut only if they exceed the sequence length; then
-the first piece takes the remainder.  Pieces are packed best fit, longest first, in bulk-synchronous
-rounds, one for each length from long to short.  Since lengths and gaps are bounded integers, the
-range-sorted pieces and the range-sorted gaps are held as runs (length, count) and (gap, sequences):
-a round sweeps the successor gaps of its length from the smallest that fits, settles by rank which
-pieces go where, updates the gaps, and opens new sequences for the rest.  The rounds need only the
-at most 2048 counts of lengths, whatever the corpus; their outcome is a list of at most a few ten
-thousand rank ranges.  Ranking the pieces and matching them to those ranges runs distributed.
+the first piece takes the remainder.  Pieces and gaps (what is left of the open sequences) are tables that are ranked
+within their sizes, so both lie in one order of sizes.  A round handles the longest pieces that are left (the classes
+between ``SHARES`` of the sequence length) and
+
+1. sweeps from the largest size to the smallest as over a stack: gaps go on top, a piece takes the top one, which is
+   its successor, the smallest gap that is not smaller and not yet taken.  A gap that holds several of the longest
+   pieces of the round goes on the stack once for each.  How high the stack is before each size follows from the counts
+   of gaps and pieces of each size, which are all that the driver sees (as many numbers as a sequence has tokens);
+2. settles by rank who takes what: a gap's or piece's rank within its size gives its level in the stack, and in the
+   order of sizes each piece's predecessor on its level is its gap.  A level has at most one gap and one piece of each
+   size, so no level is large;
+3. writes the pieces' places and the gaps that are left, which the next round reads.
+
+If a round finds no gap for some pieces, the next one opens sequences for them.  Places are equal to sequential best
+fit, longest first, in the classes down to a third of the sequence length; below, a gap that a round has made smaller
+is seen from the next round on.  Against the sequential algorithm this took at most one sequence more on all
+distributions that were tried (see the tests).
 
 Defined cases: a null or empty text is one end id; null ids and repeated rows are documents like any
 other; a text of any length is cut into as many pieces as needed; extra columns are ignored; an
@@ -16,81 +26,47 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
-from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch
+from strata.llm.token_ids import Encoder
 
 LENGTH = 2048
 END_ID = 0
-#: Pieces of one length that are ranked together, about.
-RANKED = 4096
-#: Encoded stretches of text that a task remembers at most.
-REMEMBERED = 400_000
-#: Stretches that encode alike wherever they stand: letters before a space, comma, stop or the end;
-#: commas and stops before white space; other text without white space; white space.
-STRETCH = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ſ]+(?![^\s,.])|[,.]+(?!\S)| ?\S+|\s+(?!\S)|\s+")
-#: Texts with these are encoded whole: characters on which regular-expression engines disagree, special tokens.
-WHOLE = re.compile(r"[\x1c-\x1f\x85᠎​]|<\|")
-
-
-class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by a tokenizer file; remembers frequent stretches."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        if WHOLE.search(text):
-            return self._encode([text])[0]
-        parts = STRETCH.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, parts))
-        except KeyError:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = [p for p in dict.fromkeys(parts) if p not in self.known]
-            self.known.update(zip(new, self._encode(new), strict=True))
-            return b"".join(map(self.known.__getitem__, parts))
+#: Rows of one size that are ranked together, about.
+RANKED = 1024
+#: Classes of pieces: the sequence length over these numbers are their upper bounds.
+SHARES = (1, 2, 3, 4, 5, 6, 12, 64)
 
 
 def tokenise_pieces(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) for every piece of every document."""
-    end = array("I", [END_ID]).tobytes()
     kind = docs.schema[id_col].dataType
 
     def run(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, END_ID)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
                 at, rows = [], []
-                for k, text in enumerate(batch.column(1).to_pylist()):
-                    ids = encode(text or "") + end
-                    total = len(ids) // 4
+                for k, ids in enumerate(encoder.texts(batch.column(1))):
+                    raw = memoryview(ids.astype("<u4")).cast("B")
+                    total = len(ids)
                     cut = total % length or length
                     starts = [0, *range(cut, total, length)]
                     for piece, (a, b) in enumerate(zip(starts, [*starts[1:], total], strict=True)):
-                        own = ids[4 * a : 4 * b]
+                        own = raw[4 * a : 4 * b]
                         at.append(k)
-                        rows.append((piece, a, b - a, zlib.crc32(own), own))
+                        rows.append((piece, a, b - a, zlib.crc32(own), bytes(own) if with_ids else None))
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 out = [batch.column(0).take(pa.array(at, pa.int64()))]
                 out += [pa.array(columns[k], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
@@ -100,68 +76,151 @@ def tokenise_pieces(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id",
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def best_fit_rounds(counts: dict[int, int], length: int = LENGTH) -> list[tuple[int, int, int, int, int, int]]:
-    """Best fit, longest first, over runs: rows (length, first rank, last rank + 1, first sequence, pieces each, offset).
-
-    Pieces of that length and rank r in the row's range go to sequence ``first + (r - rank) // each`` at
-    ``offset + ((r - rank) % each) * length``.
-    """
-    gaps: list[int] = []  # sorted gaps that are open
-    open_: dict[int, list[tuple[int, int]]] = {}  # gap -> runs (first sequence, how many)
-    sequences = 0
-    rows = []
-
-    def leave(gap: int, first: int, many: int) -> None:
-        if many and gap:
-            if gap not in open_:
-                insort(gaps, gap)
-                open_[gap] = []
-            open_[gap].append((first, many))
-
-    for size in range(length, 0, -1):
-        left, rank = counts.get(size, 0), 0
-
-        def put(gap: int, first: int, many: int) -> None:
-            """Fill a run of sequences of one gap from its start, as far as pieces are left."""
-            nonlocal left, rank
-            each = gap // size
-            full, rest = min(many, left // each), 0
-            if full:
-                rows.append((size, rank, rank + full * each, first, each, length - gap))
-                rank, left = rank + full * each, left - full * each
-                leave(gap - each * size, first, full)
-            if full < many and left:
-                rest = left
-                rows.append((size, rank, rank + rest, first + full, each, length - gap))
-                rank, left = rank + rest, 0
-                leave(gap - rest * size, first + full, 1)
-            used = full + bool(rest)
-            leave(gap, first + used, many - used)
-
-        while left and gaps and (k := bisect_left(gaps, size)) < len(gaps):
-            gap = gaps[k]
-            first, many = open_[gap].pop()
-            if not open_[gap]:
-                del open_[gap], gaps[k]
-            put(gap, first, many)
-        if left:
-            new = -(-left // (length // size))
-            first, sequences = sequences, sequences + new
-            put(length, first, new)
-    return rows
-
-
-def rank_pieces(pieces: DataFrame, scratch: Scratch, counts: dict[int, int]) -> DataFrame:
-    """``pieces`` with their rank among those of equal length: parts are counted, summed, then ranked each for itself."""
-    from pyspark.sql import Window
-
-    parts = F.create_map(*[F.lit(x) for n, c in sorted(counts.items()) if c > RANKED for x in (n, -(-c // RANKED))] or [F.lit(0), F.lit(1)])
-    h = F.xxhash64("doc_id", "piece", "start", "ids_crc32")
-    dealt = scratch.save(pieces.withColumn("h", h).withColumn("part", F.pmod("h", F.coalesce(F.element_at(parts, F.col("length").cast("int")), F.lit(1))).cast("int")), "dealt")
-    sums = dealt.groupBy("length", "part").agg(F.count("*").alias("c"))
-    starts = scratch.save(sums.select("length", "part", (F.sum("c").over(Window.partitionBy("length").orderBy("part")) - F.col("c")).alias("before")), "starts")
-    order = Window.partitionBy("length", "part").orderBy("h", "doc_id")
-    return dealt.join(starts, ["length", "part"]).withColumn("rank", F.row_number().over(order) - 1 + F.col("before")).drop("h", "part", "before")
+def _counts(rows: DataFrame, size: str, length: int) -> np.ndarray:
+    """How many rows there are of each size; at most ``length`` numbers."""
+    out = np.zeros(length + 1, dtype=np.int64)
+    for r in rows.groupBy(size).agg(F.count("*").alias("n")).collect():
+        out[r[size]] = r["n"]
+    return out
+
+
+def _small(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A table of long numbers with at most one row a size."""
+    values = ", ".join(f"({', '.join(f'{int(x)}L' for x in row)})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+
+
+def ranked(rows: DataFrame, size: str, h: Column, ties: list[str], counts: np.ndarray, scratch: Scratch | None = None) -> DataFrame:
+    """``rows`` with their rank among those of equal size.  Frequent sizes are dealt into parts that are counted, then ranked each for itself."""
+    many = np.nonzero(counts > RANKED)[0]
+    order = [F.col("h"), *map(F.col, ties)]
+    if not len(many):
+        return rows.withColumn("h", h).withColumn("rank", (F.row_number().over(Window.partitionBy(size).orderBy(*order)) - 1).cast("long")).drop("h")
+    parts = _small(rows.sparkSession, ["of", "parts"], [(s, -(-counts[s] // RANKED)) for s in many])
+    dealt = rows.withColumn("h", h).join(F.broadcast(parts), F.col(size) == F.col("of"), "left")  # at most one row a size
+    dealt = dealt.withColumn("part", F.pmod("h", F.coalesce("parts", F.lit(1)))).drop("of", "parts")
+    if scratch:
+        dealt = scratch.save(dealt, "dealt")
+    sums = dealt.groupBy(size, "part").agg(F.count("*").alias("c"))
+    before = sums.select(size, "part", (F.sum("c").over(Window.partitionBy(size).orderBy("part")) - F.col("c")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy(size, "part").orderBy(*order)) - 1
+    return dealt.join(before, [size, "part"]).withColumn("rank", inside + F.col("before")).drop("h", "part", "before")
+
+
+def rank_pieces(pieces: DataFrame, scratch: Scratch, counts: np.ndarray) -> DataFrame:
+    """``pieces`` with their rank among those of equal length, written in the order of lengths."""
+    found = ranked(pieces, "length", F.xxhash64("doc_id", "piece", "start", "ids_crc32"), ["doc_id"], counts, scratch)
+    return scratch.save(found.sortWithinPartitions("length", "rank"), "ranked")
+
+
+class Sweep:
+    """The stack's heights at every size: which gaps are taken by which pieces, size by size."""
+
+    def __init__(self, gaps: np.ndarray, pieces: np.ndarray, longest: int, least: int):
+        """``gaps`` and ``pieces`` count those of each size; pieces over ``longest`` or under ``least`` take no part."""
+        size = np.arange(len(gaps))
+        self.slots = np.maximum(1, size // longest)
+        pushed = np.where(size >= least, gaps * self.slots, 0)
+        wanted = np.where((size >= least) & (size <= longest), pieces, 0)
+        self.below = np.zeros(len(gaps), dtype=np.int64)  # height before the gaps of a size are pushed
+        self.placed = np.zeros(len(gaps), dtype=np.int64)  # pieces of a size that find a gap
+        self.taken = np.zeros(len(gaps), dtype=np.int64)  # slots of gaps of a size that are taken
+        stack: list[list[int]] = []
+        height = 0
+        for s in range(len(gaps) - 1, 0, -1):
+            self.below[s] = height
+            if pushed[s]:
+                stack.append([s, int(pushed[s])])
+                height += int(pushed[s])
+            due = self.placed[s] = min(int(wanted[s]), height)
+            height -= due
+            while due:
+                top = stack[-1]
+                now = min(due, top[1])
+                self.taken[top[0]] += now
+                top[1] -= now
+                due -= now
+                if not top[1]:
+                    stack.pop()
+        self.pushed, self.missed = pushed, wanted - self.placed
+
+    def table(self, spark: SparkSession, done: np.ndarray) -> DataFrame:
+        """A row a size: what ranks need to become levels, of its gaps and of its pieces."""
+        rows = [
+            (s, self.below[s], self.slots[s], self.pushed[s] - self.taken[s], self.below[s] + self.pushed[s] + done[s] - 1, done[s], done[s] + self.placed[s])
+            for s in np.nonzero(self.placed + self.taken)[0]
+        ]
+        return _small(spark, ["of", "below", "slots", "free", "top", "first", "last"], rows)
+
+
+GAPS = "sequence_id long, used long, gap long"
+PLACED = GAPS + ", length long, rank long, offset long"
+
+
+def _round(pieces: DataFrame, gaps: DataFrame, open_: np.ndarray, sweep: Sweep, done: np.ndarray) -> DataFrame:
+    """One round: rows of places (length not null) and of the gaps that stay open (gap not null)."""
+    heights = F.broadcast(sweep.table(pieces.sparkSession, done))  # at most a row a size
+    own = ranked(gaps, "gap", F.xxhash64("sequence_id"), ["sequence_id"], np.where(sweep.taken > 0, open_, 0))
+    first = F.greatest(F.col("free") - F.col("rank") * F.col("slots"), F.lit(0))
+    taken = F.when(first < F.col("slots"), F.sequence(first, F.col("slots") - 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    slots = own.join(heights, F.col("gap") == F.col("of")).select("sequence_id", "used", "gap", F.col("gap").alias("size"), "below", "rank", "slots", F.explode(taken).alias("slot"))
+    # Gaps of a size that is taken in part, but of which this one is not: on a level of their own, below all.
+    level = F.when(F.col("slot") < 0, -1 - F.col("sequence_id")).otherwise(F.col("below") + F.col("rank") * F.col("slots") + F.col("slot"))
+    none = F.lit(None).cast("long")
+    slots = slots.select(level.alias("level"), "size", F.lit(0).alias("kind"), "sequence_id", "used", "gap", "slot", none.alias("length"), none.alias("piece_rank"))
+    takers = pieces.join(heights, (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))).select(
+        (F.col("top") - F.col("rank")).alias("level"), F.col("length").alias("size"), F.lit(1).alias("kind"), none.alias("sequence_id"), none.alias("used"), none.alias("gap"), none.alias("slot"), "length", F.col("rank").alias("piece_rank"),
+    )
+    on_level = Window.partitionBy("level").orderBy(F.desc("size"), "kind")
+    met = slots.unionByName(takers).select(
+        "level", "kind", "length", "piece_rank", *(F.when(F.col("kind") == 1, F.lag(c).over(on_level)).otherwise(F.col(c)).alias(c) for c in ("sequence_id", "used", "gap", "slot")),
+    ).where("kind = 1 OR level < 0")
+    within = Window.partitionBy("sequence_id").orderBy("slot")
+    fill = met.withColumns({"filled": F.sum(F.coalesce("length", F.lit(0))).over(within), "end": F.lead("slot").over(within).isNull()})
+    last = lambda c: F.when(F.col("end"), c)
+    return fill.select(
+        "sequence_id", last(F.col("used") + F.col("filled")).alias("used"), last(F.col("gap") - F.col("filled")).alias("gap"), "length", F.col("piece_rank").alias("rank"),
+        F.when(F.col("length").isNotNull(), F.col("used") + F.col("filled") - F.col("length")).alias("offset"),
+    )
+
+
+def place_pieces(pieces: DataFrame, scratch: Scratch, counts: np.ndarray, length: int = LENGTH) -> DataFrame:
+    """(length, rank, sequence_id, offset) of every ranked piece: rounds until all are placed."""
+    spark = pieces.sparkSession
+    pieces = pieces.select("length", "rank")
+    gaps = spark.createDataFrame([], GAPS)
+    open_ = np.zeros(length + 1, dtype=np.int64)
+    done = np.zeros(length + 1, dtype=np.int64)
+    bounds = sorted({length // k for k in SHARES if length // k > 0}, reverse=True)
+    rounds = sequences = 0
+    for high, low in zip(bounds, [*bounds[1:], 0], strict=True):
+        while (left := np.nonzero((counts - done)[low + 1 : high + 1])[0]).size:
+            least, longest = low + 1 + int(left[0]), low + 1 + int(left[-1])
+            sweep = Sweep(open_, counts - done, longest, least)
+            missed = sweep.missed
+            # Where a gap may take one more piece after the round, what is left is tried again before sequences are opened.
+            if missed.any() and np.flatnonzero(sweep.taken).max(initial=0) < 2 * least:
+                each = length // longest
+                new = -(-int(missed.sum()) // each) if low >= length // (each + 1) else -(-int((missed * np.arange(length + 1)).sum()) // length)
+                more = spark.range(new).select((F.col("id") + sequences).alias("sequence_id"), F.lit(0).cast("long").alias("used"), F.lit(length).cast("long").alias("gap"))
+                gaps, sequences = gaps.unionByName(more), sequences + new
+                open_[length] += new
+                sweep = Sweep(open_, counts - done, longest, least)
+            taken = F.expr(f"gap IN ({', '.join(map(str, np.flatnonzero(sweep.taken)))})")
+            concerned = gaps.where(taken)
+            none = F.lit(None).cast("long")
+            others = gaps.where(~taken).select("*", none.alias("length"), none.alias("rank"), none.alias("offset"))
+            active = pieces.where(F.col("length").between(least, longest))
+            scratch.save(_round(active, concerned, open_, sweep, done).unionByName(others), f"round-{rounds}")
+            done += sweep.placed
+            left = np.nonzero(counts - done)[0]
+            if not left.size:
+                break
+            # Gaps under the shortest piece that is left are closed.
+            gaps = scratch.load(f"round-{rounds}", PLACED).where(F.col("gap") >= int(left[0])).select("sequence_id", "used", "gap")
+            open_ = _counts(gaps, "gap", length)
+            rounds += 1
+    return scratch.load("round-*", PLACED).where(F.col("length").isNotNull()).select("length", "rank", "sequence_id", "offset")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
@@ -172,27 +231,9 @@ def pack_documents(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_i
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     scratch = Scratch(spark, "packing")
     pieces = scratch.save(tokenise_pieces(docs, tokenizer=tokenizer, id_col=id_col, text_col=text_col, length=length, with_ids=with_ids), "pieces")
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``length`` rows
-    rows = best_fit_rounds(counts, length)
-    plan = np.array(rows, dtype=np.int64).reshape(-1, 6)
-    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
-    keys = plan[:, 0] * (1 << 48) + plan[:, 1]
-    shared = spark.sparkContext.broadcast((keys, plan))
-
-    def place(batches):
-        keys, plan = shared.value
-        for batch in batches:
-            size, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "rank"))
-            found = plan[np.searchsorted(keys, size * (1 << 48) + rank, side="right") - 1]
-            beyond = rank - found[:, 1]
-            sequence = found[:, 3] + beyond // found[:, 4]
-            offset = found[:, 5] + beyond % found[:, 4] * size
-            kept = [k for k, c in enumerate(batch.schema.names) if c != "rank"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in kept), pa.array(sequence), pa.array(offset)], [*(batch.schema.names[k] for k in kept), "sequence_id", "offset"]
-            )
-
-    kind = pieces.schema["doc_id"].dataType.simpleString()
     order = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
-    return rank_pieces(pieces, scratch, counts).select(*order, "rank").mapInArrow(place, schema)
+    counts = _counts(pieces, "length", length)
+    if not counts.any():
+        return pieces.select(*order, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    own = rank_pieces(pieces, scratch, counts)
+    return own.join(place_pieces(own, scratch, counts, length), ["length", "rank"]).select(*order, "sequence_id", "offset")

@@ -13,7 +13,6 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from strata.llm import chat_format, hmm, simhash, warc
-from strata.llm.best_fit_packing import best_fit_rounds
 from strata.llm.common import Scratch
 from strata.llm.components import connected_components
 from strata.llm.exact_dedup import DigestIndex
@@ -144,29 +143,6 @@ def test_conversation_in_parts(spark, monkeypatch):
         assert [t for r in own for _, t in chat_format.read_turns(r["formatted"])] == said
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_best_fit_rounds(seed):
-    rng = np.random.default_rng(seed)
-    counts = Counter(rng.integers(1, 65, 500).tolist())
-    gaps = []
-    for n in sorted(counts.elements(), reverse=True):
-        fits = [k for k, g in enumerate(gaps) if g >= n]
-        if fits:
-            gaps[min(fits, key=gaps.__getitem__)] -= n
-        else:
-            gaps.append(64 - n)
-    spans, ranks = {}, Counter()
-    for size, first, last, sequence, each, offset in best_fit_rounds(counts, 64):
-        for r in range(first, last):
-            at = sequence + (r - first) // each
-            spans.setdefault(at, []).append((offset + (r - first) % each * size, size))
-        ranks[size] += last - first
-    assert ranks == counts and len(spans) <= len(gaps)
-    for s in spans.values():
-        s.sort()
-        assert [a for a, _ in s] == [0, *itertools.accumulate(n for _, n in s)][:-1] and sum(n for _, n in s) <= 64
-
-
 def test_toxicity_on_held_out_texts(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = train_toxicity(spark, docs, labels)
