@@ -212,25 +212,38 @@ def split_key(key: Column, keyspaces: bool) -> Column:
 
 
 #: Names of the powers of 1024.
-UNITS = ["Bytes", "KB", "MB", "GB", "TB"]
+UNITS = ["Bytes", "KB", "MB", "GB"]
+
+
+def _plain(x: Column) -> Column:
+    """A double without trailing zeros."""
+    return F.regexp_replace(F.regexp_replace(F.format_string("%.9f", x), "0+$", ""), r"\.$", "")
 
 
 def format_bytes(n: Column) -> Column:
-    """A number of bytes for people: at most two decimals above 10 units, three digits below."""
+    """A number of bytes for people, in the largest unit that it exceeds: whole multiples bare, two digits after the
+    point below 10 units, else one."""
     out = F.concat(n.cast("string"), F.lit(" Bytes"))
     for k, unit in enumerate(UNITS[1:], 1):
-        x = n / F.lit(float(1 << 10 * k))
-        shown = F.when(x >= 10, F.format_string("%.1f", x)).otherwise(F.format_string("%.2f", x))
-        out = F.when(n > (1 << 10 * k), F.concat(shown, F.lit(f" {unit}"))).otherwise(out)
+        size = 1 << 10 * k
+        x = n / F.lit(float(size))
+        shown = F.when(n % size == 0, (n / size).cast("long").cast("string")).when(x < 10, F.format_string("%.2f", x)).otherwise(F.format_string("%.1f", x))
+        out = F.when(n > size, F.concat(shown, F.lit(f" {unit}"))).otherwise(out)
     return out
 
 
-def format_duration(micros: Column) -> Column:
-    """A duration for people, with two digits after the point of its largest unit."""
-    ms, s, m = (micros / F.lit(float(x)) for x in (1e3, 1e6, 6e7))
-    return (
-        F.when(micros < 1000, F.concat(micros.cast("string"), F.lit("µs")))
-        .when(micros < 1_000_000, F.concat(F.format_string("%.2f", ms), F.lit("ms")))
-        .when(micros < 60_000_000, F.concat(F.format_string("%.2f", s), F.lit("s")))
-        .otherwise(F.concat(F.format_string("%.2f", m), F.lit("m")))
+def format_duration(nanos: Column) -> Column:
+    """A duration in nanoseconds for people: pruned to two digits after the point of its unit, one from 10 units on, and
+    without trailing zeros; from a minute on as hours, minutes and seconds."""
+    unit = F.when(nanos >= 10**9, F.lit(10**9)).when(nanos >= 10**6, F.lit(10**6)).otherwise(F.lit(10**3)).cast("long")
+    rest = (nanos % unit) / unit.cast("double")
+    rest = F.when(nanos < unit * 10, F.floor(rest * 100 + 0.5) / 100).otherwise(F.floor(rest * 10 + 0.5) / 10)
+    kept = F.when(nanos <= 1000, nanos).otherwise(nanos - nanos % unit + F.floor(rest * unit + F.lit(1e-3)).cast("long"))
+    small = F.when(kept < 10**3, F.concat(kept.cast("string"), F.lit("ns"))).when(kept < 10**6, F.concat(_plain(kept / 1e3), F.lit("µs"))).otherwise(F.concat(_plain(kept / 1e6), F.lit("ms")))
+    seconds = F.concat(_plain((kept % (60 * 10**9)) / 1e9), F.lit("s"))
+    minutes = (kept / (60 * 10**9)).cast("long")
+    large = F.concat(
+        F.when(minutes >= 60, F.concat((minutes / 60).cast("long").cast("string"), F.lit("h"))).otherwise(F.lit("")),
+        F.when(minutes >= 1, F.concat((minutes % 60).cast("string"), F.lit("m"))).otherwise(F.lit("")), seconds,
     )
+    return F.when(kept == 0, F.lit("0s")).when(kept < 10**9, small).otherwise(large)

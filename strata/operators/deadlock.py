@@ -8,32 +8,55 @@ from pyspark.sql import functions as F
 from strata.operators.lineage import cut
 
 
+def _core(edges: DataFrame) -> DataFrame:
+    """Without edges whose waiter nobody waits for, or whose holder waits for nobody, round by round: these lie on no cycle."""
+    n = None
+    while True:
+        waits = edges.select(F.col("waiter").alias("holder")).distinct()
+        held = edges.select(F.col("holder").alias("waiter")).distinct()
+        edges = cut(edges.join(waits, "holder", "left_semi").join(held, "waiter", "left_semi").select("waiter", "holder"))
+        now = edges.count()
+        if now == n or now == 0:
+            return edges
+        n = now
+
+
 def cycles(edges: DataFrame) -> DataFrame:
     """(waiter): transactions that wait, directly or not, for themselves.
 
-    Edges whose waiter nobody waits for, or whose holder waits for nobody, cannot lie on a cycle and are
-    trimmed away round by round; what is left is followed by doubling: after k rounds, paths of up to 2^k
-    edges, until none is new.  Only the core of the waits is ever joined with itself.
+    What trimming leaves is parted into strongly connected components by labels: every transaction takes the largest
+    that reaches it; from each that keeps its own label, the edges among equal labels are followed back, which gives its
+    component.  Components are taken away and the rest is trimmed and labelled again.  A round has a row a transaction,
+    never pairs; there are as many rounds as the longest wait has steps.
     """
-    e = edges.where("waiter <> holder").select("waiter", "holder").distinct()
     loops = edges.where("waiter = holder").select("waiter").distinct()
-    n = None
-    while True:
-        waits = e.select(F.col("waiter").alias("holder")).distinct()
-        held = e.select(F.col("holder").alias("waiter")).distinct()
-        e = cut(e.join(waits, "holder", "left_semi").join(held, "waiter", "left_semi").select("waiter", "holder"))
-        now = e.count()
-        if now == n or now == 0:
-            break
-        n = now
-    reach, known = e, n
-    while now:
-        more = reach.join(reach.select(F.col("waiter").alias("holder"), F.col("holder").alias("to")), "holder").select("waiter", F.col("to").alias("holder"))
-        reach = cut(reach.unionByName(more).distinct())
-        if (now := reach.count()) == known:
-            break
-        known = now
-    return reach.where("waiter = holder").select("waiter").unionByName(loops).distinct()
+    core = _core(edges.where("waiter <> holder").select("waiter", "holder").distinct())
+    found = loops
+    while not core.isEmpty():
+        labels = core.select(F.col("waiter").alias("txn"), F.col("waiter").alias("label")).distinct()
+        total = None
+        while True:
+            passed = core.join(labels, core["waiter"] == labels["txn"]).select(F.col("holder").alias("txn"), "label")
+            labels = cut(labels.unionByName(passed).groupBy("txn").agg(F.max("label").alias("label")))
+            now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+            if now == total:
+                break
+            total = now
+        a = labels.select(F.col("txn").alias("waiter"), F.col("label").alias("a"))
+        b = labels.select(F.col("txn").alias("holder"), F.col("label").alias("b"))
+        same = cut(core.join(a, "waiter").join(b, "holder").where("a = b").select("waiter", "holder"))
+        inside = labels.where("txn = label").select("txn")
+        frontier = inside
+        while True:
+            frontier = cut(same.join(frontier, same["holder"] == frontier["txn"], "left_semi").select(F.col("waiter").alias("txn")).distinct().join(inside, "txn", "left_anti"))
+            if frontier.isEmpty():
+                break
+            inside = cut(inside.unionByName(frontier))
+        sizes = inside.join(labels, "txn").groupBy("label").agg(F.count("*").alias("n")).where("n > 1")
+        found = cut(found.unionByName(inside.join(labels, "txn").join(sizes, "label", "left_semi").select(F.col("txn").alias("waiter"))).distinct())
+        gone = inside.select(F.col("txn").alias("waiter"))
+        core = _core(core.join(gone, "waiter", "left_anti").join(gone.withColumnRenamed("waiter", "holder"), "holder", "left_anti").select("waiter", "holder"))
+    return found
 
 
 def would_deadlock(edges: DataFrame, waiter: int, holder: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.mvcc import in_range
@@ -41,12 +41,12 @@ def delete_range(table: DataFrame, lo: bytes | None = None, hi: bytes | None = N
 
 
 def range_tasks(regions: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(task, lo, hi): each asked range cut at region borders; empty hi is open."""
-    open_end = F.lit(bytes([0xFF] * 64))
-    end = lambda c: F.when(F.octet_length(c) == 0, open_end).otherwise(F.col(c))
-    met = ranges.select(F.col("lo").alias("a"), F.col("hi").alias("b")).join(F.broadcast(regions.select("lo", "hi")), (F.col("lo") < end("b")) & (F.col("a") < end("hi")))
-    cut = met.select(F.greatest("a", "lo").alias("lo"), F.least(end("b"), end("hi")).alias("hi")).where("lo < hi")
-    return cut.select("lo", F.when(F.col("hi") == open_end, F.lit(b"")).otherwise(F.col("hi")).alias("hi"))
+    """(lo, hi): each asked range cut at region borders; empty hi is open."""
+    from strata.operators.regions import OPEN, end, overlapping
+
+    met = overlapping(ranges, regions)
+    cut = met.select(F.greatest("a", "lo").alias("lo"), F.least(end(F.col("b")), end(F.col("hi"))).alias("hi")).where("lo < hi")
+    return cut.select("lo", F.when(F.col("hi") == F.lit(OPEN), F.lit(b"")).otherwise(F.col("hi")).alias("hi"))
 
 
 def run_on_ranges(table: DataFrame, handler, schema, partitions: int) -> DataFrame:
@@ -55,11 +55,13 @@ def run_on_ranges(table: DataFrame, handler, schema, partitions: int) -> DataFra
 
 
 def min_safe_ts(stores: DataFrame) -> DataFrame:
-    """(scope, safe_ts): smallest of the stores' safe timestamps; 0 if one has none yet.
+    """(scope, safe_ts): smallest of the stores' safe timestamps.
 
-    ``stores``: store_id, scope, safe_ts (0 or null: unknown).
+    ``stores``: store_id, scope, safe_ts.  A store that has reported 0 does not count; one that is missing (null) makes
+    the result 0, as do only zeros.
     """
-    return stores.groupBy("scope").agg(F.min(F.coalesce("safe_ts", F.lit(0))).alias("safe_ts"))
+    least = F.min(F.when(F.col("safe_ts") != 0, F.col("safe_ts")))
+    return stores.groupBy("scope").agg(F.when(F.bool_or(F.col("safe_ts").isNull()), 0).otherwise(F.coalesce(least, F.lit(0))).cast("long").alias("safe_ts"))
 
 
 def advance_safe_ts(before: DataFrame, now: DataFrame) -> DataFrame:
@@ -86,8 +88,3 @@ def save_safe_point(meta: DataFrame, ts: int, name: str = "gc_safe_point") -> Da
     """``meta`` (name, ts) with the safe point; it never goes back."""
     new = meta.sparkSession.createDataFrame([(name, ts)], "name string, ts long")
     return meta.unionByName(new).groupBy("name").agg(F.max("ts").alias("ts"))
-
-
-def ranked_history(versions: DataFrame) -> DataFrame:
-    """Records with their age rank within the key, newest first; for inspection, not for collection."""
-    return versions.withColumn("age", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("commit_ts"), F.desc("start_ts"))))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.tso import LATEST
+from strata.operators.lineage import cut
 
 #: Isolation levels: locks block reads; locks are ignored; locks are ignored but newer versions are an error.
 SI, RC, RC_CHECK_TS = "SI", "RC", "RCCheckTS"
@@ -43,14 +44,15 @@ def visible(versions: DataFrame, ts: int | None = None, *, key_only: bool = Fals
     return out.select("key", "v.commit_ts") if key_only else out.select("key", "v.value", "v.commit_ts")
 
 
-def blocking_locks(locks: DataFrame, ts: int, resolved: Iterable[int] = (), *, own_primary: bool = True) -> DataFrame:
-    """Locks that block a read at ``ts``: started by then, of an op that writes, not of a resolved transaction.
+def blocking_locks(locks: DataFrame, ts: int, resolved: Iterable[int] | DataFrame = (), *, own_primary: bool = True) -> DataFrame:
+    """Locks that block a read at ``ts``: started by then, of an op that writes, not of a resolved transaction (ids, or a table of start_ts).
 
     A read of the newest state passes its own primary's lock (``own_primary``), which is then read before it.
     """
     held = locks.where((F.col("start_ts") <= ts) & ~F.col("op").isin("lock", "pessimistic", "shared"))
-    resolved = list(resolved)
-    if resolved:
+    if isinstance(resolved, DataFrame):
+        held = held.join(resolved.select("start_ts").distinct(), "start_ts", "left_anti").select(*locks.columns)
+    elif resolved := list(resolved):
         held = held.where(~F.col("start_ts").isin(resolved))
     if ts == LATEST and own_primary:
         held = held.where(F.col("key") != F.col("primary"))
@@ -60,8 +62,8 @@ def blocking_locks(locks: DataFrame, ts: int, resolved: Iterable[int] = (), *, o
 class Snapshot:
     """A lazy view of the newest versions at one timestamp."""
 
-    def __init__(self, versions: DataFrame, ts: int | None = None, *, locks: DataFrame | None = None, isolation: str = SI, resolved: Iterable[int] = (), gc_safe_point: int = 0):
-        self.versions, self.locks, self.isolation, self.resolved = versions, locks, isolation, list(resolved)
+    def __init__(self, versions: DataFrame, ts: int | None = None, *, locks: DataFrame | None = None, isolation: str = SI, resolved: Iterable[int] | DataFrame = (), gc_safe_point: int = 0):
+        self.versions, self.locks, self.isolation, self.resolved = versions, locks, isolation, resolved if isinstance(resolved, DataFrame) else list(resolved)
         self.ts = LATEST if ts is None else ts
         if self.ts < gc_safe_point:
             raise ValueError(f"read at {self.ts} lies before the collected history at {gc_safe_point}")
@@ -71,7 +73,12 @@ class Snapshot:
 
     def ignoring(self, *start_ts: int) -> Snapshot:
         """As if these transactions' locks were resolved; also how a pipelined transaction skips its own."""
-        return Snapshot(self.versions, self.ts, locks=self.locks, isolation=self.isolation, resolved=[*self.resolved, *start_ts])
+        if isinstance(self.resolved, DataFrame):
+            own = self.versions.sparkSession.createDataFrame([(t,) for t in start_ts], "start_ts long")
+            resolved = self.resolved.select("start_ts").unionByName(own)
+        else:
+            resolved = [*self.resolved, *start_ts]
+        return Snapshot(self.versions, self.ts, locks=self.locks, isolation=self.isolation, resolved=resolved)
 
     def _read(self, keep, key_only: bool = False) -> DataFrame:
         """Visible rows of the keys that ``keep`` leaves, then rows with an error for blocked keys."""
@@ -119,16 +126,27 @@ class Snapshot:
             self.versions = self.versions.cache()
         return self
 
+    def clean(self) -> Snapshot:
+        """Release what ``cache`` keeps."""
+        self.versions = self.versions.unpersist()
+        return self
 
-def numbered(rows: DataFrame, name: str = "n") -> DataFrame:
-    """``rows`` with their number from 0 in the order of key: range partitions count themselves, then add those before.
 
-    Leading eight bytes of the key deal the partitions; a partition is a contiguous stretch of keys.
+def range_parts(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` dealt into contiguous ranges of a column, with the range's number in ``__part``.
+
+    Written once: bounds that are sampled again, after a lost executor, need not be the same.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, "key").withColumn("__part", F.spark_partition_id()).persist()
+    return cut(rows.repartitionByRange(parts, column).withColumn("__part", F.spark_partition_id()))
+
+
+def numbered(rows: DataFrame, name: str = "n") -> DataFrame:
+    """``rows`` with their number from 0 in the order of key: range partitions count themselves, then add those before."""
+    dealt = range_parts(rows, "key")
     before = dealt.groupBy("__part").agg(F.count("*").alias("__c")).withColumn("__before", F.sum("__c").over(Window.orderBy("__part")) - F.col("__c")).drop("__c")
     within = F.row_number().over(Window.partitionBy("__part").orderBy("key")) - 1
+    # A row a partition.
     return dealt.join(F.broadcast(before), "__part").withColumn(name, within + F.col("__before")).drop("__part", "__before")
 
 
@@ -136,14 +154,28 @@ def every_nth(rows: DataFrame, step: int) -> DataFrame:
     return numbered(rows, "__n").where(F.col("__n") % step == 0).drop("__n")
 
 
+#: ``read_at_each`` takes a stated list of moments, at most so many.
+MOST_MOMENTS = 10_000
+
+
 def read_at_each(versions: DataFrame, moments: DataFrame) -> DataFrame:
-    """(ts, key, value, commit_ts): the state at each of a few moments, in one pass over the log.
+    """(ts, key, value, commit_ts): the state at each of a stated list of moments, in one pass over the log.
 
-    Each version belongs to a moment if it is the newest not after it; ``moments`` is a stated, small list.
+    A version belongs to the stretch between two moments in which it was committed; of each key and stretch the newest
+    is kept, and it is the state at every moment up to the key's next stretch.
     """
-    rows = versions.where(F.col("op").isin(*DATA)).join(F.broadcast(moments.select("ts")), F.col("commit_ts") <= F.col("ts"))
-    newest = rows.groupBy("ts", "key").agg(F.max_by(F.struct("op", "value", "commit_ts"), "commit_ts").alias("v"))
-    return newest.where("v.op = 'put'").select("ts", "key", "v.value", "v.commit_ts")
+    times = sorted(r["ts"] for r in moments.select("ts").distinct().limit(MOST_MOMENTS + 1).collect())
+    if len(times) > MOST_MOMENTS:
+        raise ValueError(f"at most {MOST_MOMENTS} moments")
+    if not times:
+        return versions.select(F.lit(0).cast("long").alias("ts"), "key", "value", "commit_ts").limit(0)
+    points = F.array(*[F.lit(t).cast("long") for t in times])
+    rows = versions.where((F.col("commit_ts") <= times[-1]) & F.col("op").isin(*DATA))
+    rows = rows.withColumn("stretch", F.size(F.filter(points, lambda t: t < F.col("commit_ts"))))
+    newest = rows.groupBy("key", "stretch").agg(F.max_by(F.struct("op", "value", "commit_ts"), "commit_ts").alias("v"))
+    until = F.coalesce(F.lead("stretch").over(Window.partitionBy("key").orderBy("stretch")), F.lit(len(times)))
+    seen = newest.withColumn("until", until).where("v.op = 'put'")
+    return seen.select(F.explode(F.slice(points, F.col("stretch") + 1, F.col("until") - F.col("stretch"))).alias("ts"), "key", "v.value", "v.commit_ts")
 
 
 def history(versions: DataFrame, locks: DataFrame | None = None, key: bytes | None = None) -> DataFrame:
@@ -160,7 +192,7 @@ def history(versions: DataFrame, locks: DataFrame | None = None, key: bytes | No
 def history_by_start_ts(versions: DataFrame, start_ts: int) -> DataFrame:
     """History of the first key that has a record of this transaction."""
     first = versions.where(F.col("start_ts") == start_ts).agg(F.min("key").alias("key")).where("key IS NOT NULL")
-    return history(versions.join(F.broadcast(first), "key", "left_semi"))
+    return history(versions.join(F.broadcast(first), "key", "left_semi"))  # one key
 
 
 def split_errors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

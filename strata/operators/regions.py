@@ -3,6 +3,9 @@
 Finding the region of many keys is an as-of lookup, not a range join: keys and region starts are
 ordered together and each key takes the last start before it, so the plan is a shuffle and a sort
 at any number of regions.
+
+``gaps``, ``contiguous_from`` and ``split`` put the regions themselves in one order: region metadata, a row for some
+ten megabytes of data or more, not a row a key.
 """
 
 from __future__ import annotations
@@ -10,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Regions up to this number (their count is checked) travel to every task as a sorted array.
-FEW_REGIONS = 10_000
+from strata.operators.lineage import cut
+from strata.operators.mvcc import numbered, range_parts
+
 OPEN = bytes([0xFF] * 64)
 
 
@@ -24,29 +28,49 @@ def contains_by_end(key: Column, lo: Column, hi: Column) -> Column:
     return (key > lo) & ((F.octet_length(hi) == 0) | (key <= hi))
 
 
-def _end(hi: Column) -> Column:
+def end(hi: Column) -> Column:
     return F.when(F.octet_length(hi) == 0, F.lit(OPEN)).otherwise(hi)
 
 
+def as_of(points: DataFrame, starts: DataFrame, *, before: bool = False) -> DataFrame:
+    """``points`` (key, ...) with ``near``: the columns of the start with the largest key not after theirs (``before``: before it).
+
+    Points and starts are sorted together in range partitions, written once, so that a task that is run again finds the
+    same partitions; each partition begins with the last start of those before it.
+    """
+    cols = points.columns
+    near, point = F.struct(*starts.columns), F.struct(*cols)
+    kinds = starts.select(near.alias("x")).schema["x"].dataType, points.select(point.alias("x")).schema["x"].dataType
+    rows = points.select("key", F.lit(None).cast(kinds[0]).alias("start"), point.alias("point")).unionByName(starts.select("key", near.alias("start"), F.lit(None).cast(kinds[1]).alias("point")))
+    dealt = range_parts(rows, "key")
+    last = dealt.where("start IS NOT NULL").groupBy("__part").agg(F.max_by("start", "key").alias("start"))
+    # A row a partition.
+    carried = F.last("start", ignorenulls=True).over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    earlier = dealt.select("__part").distinct().join(last, "__part", "left").select("__part", carried.alias("carried"))
+    tie = F.col("start").isNotNull() if before else F.col("start").isNull()
+    found = F.last("start", ignorenulls=True).over(Window.partitionBy("__part").orderBy("key", tie).rowsBetween(Window.unboundedPreceding, 0))
+    rows = dealt.withColumn("near", found).where("point IS NOT NULL").join(F.broadcast(earlier), "__part")
+    return rows.select("point.*", F.coalesce("near", "carried").alias("near"))
+
+
 def locate_keys(keys: DataFrame, regions: DataFrame, *, by_end: bool = False) -> DataFrame:
     """``keys`` with region_id, lo, hi of their region; null where none holds the key."""
     inside = contains_by_end if by_end else contains
-    cols = [c for c in keys.columns]
-    if regions.count() <= FEW_REGIONS:
-        return keys.join(F.broadcast(regions.select("region_id", "lo", "hi")), inside(keys["key"], F.col("lo"), F.col("hi")), "left").select(*cols, "region_id", "lo", "hi")
-    # Beyond that: regions and keys meet in range partitions; a partition starts with the last region before it.
-    starts = regions.select(F.col("lo").alias("key"), F.struct("region_id", "lo", "hi").alias("r"), F.lit(None).cast(keys.select(F.struct(*cols).alias("k")).schema["k"].dataType).alias("k"))
-    both = keys.select("key", F.lit(None).cast(starts.schema["r"].dataType).alias("r"), F.struct(*cols).alias("k")).unionByName(starts)
-    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = both.repartitionByRange(parts, "key").withColumn("p", F.spark_partition_id()).persist()
-    last = dealt.where("r IS NOT NULL").groupBy("p").agg(F.max_by("r", "key").alias("r"))
-    carried = F.last("r", ignorenulls=True).over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1))
-    before = dealt.select("p").distinct().join(last, "p", "left").select("p", carried.alias("carried"))
-    tie = F.col("r").isNull() if not by_end else F.col("r").isNotNull()
-    near = F.last("r", ignorenulls=True).over(Window.partitionBy("p").orderBy("key", tie).rowsBetween(Window.unboundedPreceding, 0))
-    found = dealt.withColumn("near", near).where("k IS NOT NULL").join(F.broadcast(before), "p").withColumn("near", F.coalesce("near", "carried"))
+    found = as_of(keys, regions.select(F.col("lo").alias("key"), "region_id", "lo", "hi"), before=by_end)
     good = inside(F.col("key"), F.col("near.lo"), F.col("near.hi"))
-    return found.select("k.*", *[F.when(good, F.col(f"near.{c}")).alias(c) for c in ("region_id", "lo", "hi")])
+    return found.select(*keys.columns, *[F.when(good, F.col(f"near.{c}")).alias(c) for c in ("region_id", "lo", "hi")])
+
+
+def overlapping(ranges: DataFrame, regions: DataFrame) -> DataFrame:
+    """(a, b, region_id, lo, hi): the regions that overlap each range ``[a, b)``, found by the numbers of the first and the last."""
+    own = numbered(regions.select(F.col("lo").alias("key"), "region_id", "lo", "hi"), "number").drop("key")
+    starts = own.select(F.col("lo").alias("key"), "number")
+    asked = ranges.select(F.monotonically_increasing_id().alias("id"), F.col("lo").alias("a"), F.col("hi").alias("b"))
+    asked = cut(asked)
+    first = as_of(asked.withColumn("key", F.col("a")), starts).select("id", "a", "b", F.coalesce("near.number", F.lit(0)).cast("long").alias("from"))
+    last = as_of(asked.select("id", end(F.col("b")).alias("key")), starts, before=True).select("id", F.col("near.number").alias("to"))
+    spans = first.join(last, "id").where("from <= to").select("a", "b", F.explode(F.sequence("from", "to")).alias("number"))
+    return spans.join(own, "number").where((F.col("lo") < end(F.col("b"))) & (F.col("a") < end(F.col("hi")))).drop("number")
 
 
 def group_keys(keys: DataFrame, regions: DataFrame) -> DataFrame:
@@ -55,21 +79,20 @@ def group_keys(keys: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def locate_ranges(ranges: DataFrame, regions: DataFrame) -> DataFrame:
-    """Regions that overlap any of a stated list of ranges, once each, in order."""
-    r = ranges.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    return regions.join(F.broadcast(r), (F.col("lo") < _end(F.col("b"))) & (F.col("a") < _end(F.col("hi"))), "left_semi").orderBy("lo")
+    """Regions that overlap any of the ranges, once each, in order."""
+    return overlapping(ranges, regions).select("region_id", "lo", "hi").distinct().orderBy("lo")
 
 
 def next_regions(regions: DataFrame, start: bytes, n: int) -> DataFrame:
     """The region of ``start`` and those after it, ``n`` at most."""
-    return regions.where(_end(F.col("hi")) > F.lit(start)).orderBy("lo").limit(n)
+    return regions.where(end(F.col("hi")) > F.lit(start)).orderBy("lo").limit(n)
 
 
 def gaps(regions: DataFrame, lo: bytes = b"", hi: bytes = b"") -> DataFrame:
     """(lo, hi): parts of the range that no region covers.  A running maximum over the regions of the range."""
-    end = hi or OPEN
-    near = regions.where((F.col("lo") < F.lit(end)) & (_end(F.col("hi")) > F.lit(lo))).select(F.greatest("lo", F.lit(lo)).alias("lo"), F.least(_end(F.col("hi")), F.lit(end)).alias("hi"))
-    edge = near.sparkSession.createDataFrame([(bytearray(end), bytearray(end))], "lo binary, hi binary")
+    stop = hi or OPEN
+    near = regions.where((F.col("lo") < F.lit(stop)) & (end(F.col("hi")) > F.lit(lo))).select(F.greatest("lo", F.lit(lo)).alias("lo"), F.least(end(F.col("hi")), F.lit(stop)).alias("hi"))
+    edge = near.sparkSession.createDataFrame([(bytearray(stop), bytearray(stop))], "lo binary, hi binary")
     covered = F.max("hi").over(Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
     holes = near.unionByName(edge).withColumn("from", F.coalesce(covered, F.lit(lo))).where(F.col("from") < F.col("lo"))
     return holes.select(F.col("from").alias("lo"), F.when(F.col("lo") == F.lit(OPEN), F.lit(b"")).otherwise(F.col("lo")).alias("hi"))
@@ -78,7 +101,7 @@ def gaps(regions: DataFrame, lo: bytes = b"", hi: bytes = b"") -> DataFrame:
 def contiguous_from(regions: DataFrame, start: bytes, limit: int | None = None) -> DataFrame:
     """Regions in order from the one that holds ``start`` up to the first hole."""
     w = Window.orderBy("lo")
-    rows = regions.where(_end(F.col("hi")) > F.lit(start)).withColumn("before", F.lag("hi").over(w))
+    rows = regions.where(end(F.col("hi")) > F.lit(start)).withColumn("before", F.lag("hi").over(w))
     broken = F.when(F.col("before").isNull(), F.col("lo") > F.lit(start)).otherwise(F.col("before") != F.col("lo"))
     kept = rows.withColumn("bad", F.max(broken.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("bad = 0").drop("before", "bad").orderBy("lo")
     return kept if limit is None else kept.limit(limit)
@@ -102,8 +125,6 @@ def merge(regions: DataFrame, left_id: int, right_id: int) -> DataFrame:
 
 def split_points(rows: DataFrame, n: int) -> DataFrame:
     """(tile, lo): first keys of ``n`` stretches of nearly equal counts."""
-    from strata.operators.mvcc import numbered
-
     keys = rows.select("key").distinct()
     total = keys.count()
     tile = F.floor(F.col("n") * n / max(total, 1)).cast("int")

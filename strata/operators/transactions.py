@@ -39,18 +39,22 @@ def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
 
 
-def derive_mutations(buffer: DataFrame) -> DataFrame:
+def derive_mutations(buffer: DataFrame, *, pessimistic: bool = False, unnecessary: Column | None = None) -> DataFrame:
     """(key, op, value, ...) from buffered (key, value, flags): what each key asks of the protocol.
 
-    A null value is flags only; an empty one a delete.
+    A null value is flags only; an empty one a delete.  ``unnecessary`` (by default the flag ``ignored_in_2pc``) is a
+    condition for values that need no commit: they only keep their key's lock, if it has one, and deletes among them
+    are left out.  Only an optimistic transaction checks that a key which it inserted and deleted again does not exist.
     """
     has = lambda name: fl.has(F.col("flags"), name)
     written, empty = F.col("value").isNotNull(), F.octet_length("value") == 0
     lock = F.when(has("locked_in_share_mode"), F.lit("shared_lock")).otherwise(F.lit("lock"))
+    skip = F.coalesce(has("ignored_in_2pc") if unnecessary is None else unnecessary, F.lit(False))
     op = (
-        F.when(~written, F.when(has("key_locked"), lock))
-        .when(~empty, F.when(has("ignored_in_2pc"), F.lit(None)).when(has("presume_not_exists"), F.lit("insert")).otherwise(F.lit("put")))
-        .when(has("presume_not_exists"), F.lit("check_not_exists"))
+        F.when(~written | (skip & ~empty), F.when(has("key_locked"), lock))
+        .when(~empty, F.when(has("presume_not_exists"), F.lit("insert")).otherwise(F.lit("put")))
+        .when(skip, F.lit(None))
+        .when(F.lit(not pessimistic) & has("presume_not_exists"), F.lit("check_not_exists"))
         .when(has("newly_inserted"), F.when(has("key_locked"), lock))
         .otherwise(F.lit("del"))
     )
@@ -65,10 +69,20 @@ def primary_key(mutations: DataFrame) -> DataFrame:
     return mutations.where(~F.col("op").isin("check_not_exists", "shared_lock")).agg(F.min("key").alias("primary"))
 
 
+def _modes(async_keys: int, async_bytes: int, one_phase: bool, batches: int) -> list[Column]:
+    small = (F.count("*") <= async_keys) & (F.sum(F.octet_length("key")) <= async_bytes) & ~F.coalesce(F.bool_or(F.col("op") == "shared_lock"), F.lit(False))
+    size = F.sum(F.octet_length("key") + F.coalesce(F.octet_length("value"), F.lit(0)))
+    return [small.alias("async_commit"), (small & F.lit(one_phase and batches == 1)).alias("one_phase"), F.count("*").alias("keys"), size.alias("bytes")]
+
+
 def commit_mode(mutations: DataFrame, *, async_keys: int = ASYNC_KEYS, async_bytes: int = ASYNC_BYTES, one_phase: bool = True, batches: int = 1) -> DataFrame:
     """One row: may this transaction commit in one phase, or asynchronously, by its number and size of keys?"""
-    small = (F.count("*") <= async_keys) & (F.sum(F.octet_length("key")) <= async_bytes) & ~F.coalesce(F.bool_or(F.col("op") == "shared_lock"), F.lit(False))
-    return mutations.agg(small.alias("async_commit"), (small & F.lit(one_phase and batches == 1)).alias("one_phase"), F.count("*").alias("keys"), F.sum(F.octet_length("key") + F.coalesce(F.octet_length("value"), F.lit(0))).alias("bytes"))
+    return mutations.agg(*_modes(async_keys, async_bytes, one_phase, batches))
+
+
+def commit_modes(mutations: DataFrame, by: str, *, async_keys: int = ASYNC_KEYS, async_bytes: int = ASYNC_BYTES, one_phase: bool = True, batches: int = 1) -> DataFrame:
+    """``commit_mode`` of many transactions at once, a row for each value of the column ``by``."""
+    return mutations.groupBy(by).agg(*_modes(async_keys, async_bytes, one_phase, batches))
 
 
 def secondaries(mutations: DataFrame, primary: bytes) -> DataFrame:

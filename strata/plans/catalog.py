@@ -142,13 +142,14 @@ def si_scan_lock_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("si_scan_resolved", f"""WITH {NOISY}, {_seen(tso.LATEST)}, {LOCKS}, own AS (SELECT key, start_ts FROM locks WHERE key = \"primary\" AND op <> 'lock'),
-    held AS (SELECT key, start_ts FROM locks WHERE key <> \"primary\" AND op <> 'lock'),
+    held AS (SELECT key, start_ts FROM locks WHERE key <> \"primary\" AND op <> 'lock' AND start_ts % 2 <> 0),
     past AS (SELECT v.key, v.value, v.commit_ts, v.op, row_number() OVER (PARTITION BY v.key ORDER BY v.commit_ts DESC) AS r FROM versions v JOIN own ON v.key = own.key AND v.commit_ts < own.start_ts WHERE v.op IN ('put', 'del'))
     SELECT key, value, commit_ts, NULL AS error FROM seen WHERE key NOT IN (SELECT key FROM own) AND key NOT IN (SELECT key FROM held)
     UNION ALL SELECT key, value, commit_ts, NULL FROM past WHERE r = 1 AND op = 'put' UNION ALL SELECT key, NULL, NULL, 'locked by ' || start_ts FROM held""")
 def si_scan_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest state: own primaries are read before their lock, secondaries block."""
-    return _show(mvcc.Snapshot(_versions(spark, sf_dir), None, locks=_locks(spark, sf_dir)).scan())
+    """The newest state: own primaries are read before their lock, secondaries of transactions that are not resolved block."""
+    locks = _locks(spark, sf_dir)
+    return _show(mvcc.Snapshot(_versions(spark, sf_dir), None, locks=locks, resolved=locks.where("start_ts % 2 = 0")).scan())
 
 
 @query("rc_scan", f"WITH {NOISY}, {_seen(READ_AT)} SELECT key, value, commit_ts, CAST(NULL AS VARCHAR) AS error FROM seen")
@@ -270,17 +271,28 @@ def async_commit_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mutation_derive", """
-    SELECT op, count(*) AS n FROM (SELECT o_orderkey % 16384 AS f, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '' ELSE 'v' END AS v FROM orders) t,
-    LATERAL (SELECT CASE WHEN v IS NULL THEN CASE WHEN f & 2 <> 0 THEN CASE WHEN f & 8192 <> 0 THEN 'shared_lock' ELSE 'lock' END END
-        WHEN v <> '' THEN CASE WHEN f & 64 <> 0 THEN NULL WHEN f & 1 <> 0 THEN 'insert' ELSE 'put' END
-        WHEN f & 1 <> 0 THEN 'check_not_exists'
-        WHEN f & 256 <> 0 THEN CASE WHEN f & 2 <> 0 THEN CASE WHEN f & 8192 <> 0 THEN 'shared_lock' ELSE 'lock' END END
-        ELSE 'del' END AS op) WHERE op IS NOT NULL GROUP BY op""")
+    SELECT pessimistic, op, count(*) AS n FROM (SELECT o_orderkey % 16384 AS f, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '' ELSE 'v' END AS v FROM orders) t,
+    (VALUES (TRUE), (FALSE)) m(pessimistic),
+    LATERAL (SELECT f & 2 <> 0 AS locked, f & 64 <> 0 AS unnecessary, CASE WHEN f & 8192 <> 0 THEN 'shared_lock' ELSE 'lock' END AS lock_op) k,
+    LATERAL (SELECT CASE
+        WHEN v IS NULL AND NOT locked THEN NULL
+        WHEN v IS NULL THEN lock_op
+        WHEN v <> '' AND unnecessary AND NOT locked THEN NULL
+        WHEN v <> '' AND unnecessary THEN lock_op
+        WHEN v <> '' AND f & 1 <> 0 THEN 'insert'
+        WHEN v <> '' THEN 'put'
+        WHEN unnecessary THEN NULL
+        WHEN NOT pessimistic AND f & 1 <> 0 THEN 'check_not_exists'
+        WHEN f & 256 <> 0 AND NOT locked THEN NULL
+        WHEN f & 256 <> 0 THEN lock_op
+        ELSE 'del' END AS op) o WHERE op IS NOT NULL GROUP BY ALL""")
 def mutation_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both modes of transactions, over values that are missing, empty or there and over all flags."""
     k = F.col("o_orderkey")
     value = F.when(k % 4 == 0, F.lit(None).cast("binary")).when(k % 4 == 1, F.lit(b"")).otherwise(F.lit(b"v"))
     b = src.table(spark, sf_dir, "orders").select(codecs.encode_uint(k).alias("key"), value.alias("value"), (k % 16384).cast("int").alias("flags"))
-    return transactions.derive_mutations(b).groupBy("op").agg(F.count("*").alias("n"))
+    both = [transactions.derive_mutations(b, pessimistic=p).groupBy("op").agg(F.count("*").alias("n")).withColumn("pessimistic", F.lit(p)) for p in (True, False)]
+    return both[0].unionByName(both[1])
 
 
 @query("flag_operations", """
@@ -299,16 +311,21 @@ def lock_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("commit_mode", """
-    SELECT o_custkey, count(*) <= 4 AND 8 * count(*) <= 4096 AS async_commit FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, count(*) <= 4 AND 8 * count(*) <= 4096 AND NOT bool_or(o_orderkey % 41 = 0) AS async_commit, count(*) <= 4 AND 8 * count(*) <= 4096 AND NOT bool_or(o_orderkey % 41 = 0) AS one_phase,
+    count(*) AS keys, CAST(sum(8 + octet_length(encode(o_orderstatus))) AS BIGINT) AS bytes FROM orders GROUP BY o_custkey""")
 def commit_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = src.table(spark, sf_dir, "orders")
-    return o.groupBy("o_custkey").agg(((F.count("*") <= 4) & (F.sum(F.octet_length(codecs.encode_uint(F.col("o_orderkey")))) <= transactions.ASYNC_BYTES)).alias("async_commit"))
+    """Every customer's orders are one transaction."""
+    k = F.col("o_orderkey")
+    m = src.table(spark, sf_dir, "orders").select("o_custkey", codecs.encode_uint(k).alias("key"), F.encode("o_orderstatus", "UTF-8").alias("value"), F.when(k % 41 == 0, "shared_lock").otherwise("put").alias("op"))
+    return transactions.commit_modes(m, "o_custkey", async_keys=4)
 
 
-@query("deadlock_cycles", """WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS waiter, (c_custkey * 7 + 3) % 101 AS holder FROM customer WHERE c_custkey < 101), r(waiter, holder) AS (SELECT waiter, holder FROM e UNION SELECT r.waiter, e.holder FROM r JOIN e ON r.holder = e.waiter) SELECT waiter FROM r WHERE waiter = holder""")
+@query("deadlock_cycles", """WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS waiter, c_custkey - c_custkey % 6 + (c_custkey * 5 + c_custkey // 6) % 7 AS holder FROM customer),
+    r(waiter, holder) AS (SELECT waiter, holder FROM e UNION SELECT r.waiter, e.holder FROM r JOIN e ON r.holder = e.waiter) SELECT waiter FROM r WHERE waiter = holder""")
 def deadlock_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = src.table(spark, sf_dir, "customer").where("c_custkey < 101")
-    edges = c.select(F.col("c_custkey").alias("waiter"), ((F.col("c_custkey") * 7 + 3) % 101).alias("holder"))
+    """Customers wait for one another within their six, or for the first of the next."""
+    k = F.col("c_custkey")
+    edges = src.table(spark, sf_dir, "customer").select(k.alias("waiter"), (k - k % 6 + (k * 5 + F.floor(k / 6)) % 7).cast("long").alias("holder"))
     return deadlock.cycles(edges)
 
 
@@ -410,7 +427,13 @@ def raw_checksum_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.checksum(_raw(spark, sf_dir), cf=CF, digest=False)
 
 
-@query("raw_checksum_crc64", None)
+@query("raw_checksum_crc64", f"""WITH {RAW},
+    step AS (SELECT list_transform(range(0, 256), lambda k: list_reduce(list_prepend(CAST(k AS UBIGINT), list_transform(range(0, 8), lambda i: CAST(0 AS UBIGINT))), lambda a, i: xor(a >> 1, (a & 1) * CAST({raw.POLYNOMIAL} AS UBIGINT)))) AS t),
+    b AS (SELECT unhex(key) || encode(value) AS b, hex(unhex(key) || encode(value)) AS h FROM r WHERE cf = '{CF}'),
+    c AS (SELECT octet_length(b) AS n, xor(CAST(18446744073709551615 AS UBIGINT), list_reduce(list_prepend(CAST(18446744073709551615 AS UBIGINT),
+        list_transform(range(0, octet_length(b)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS UBIGINT))), lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS BIGINT) + 1]))) AS crc FROM b, step),
+    s AS (SELECT bit_xor(crc) AS x, count(*) AS total_kvs, CAST(sum(n) AS BIGINT) AS total_bytes FROM c)
+    SELECT CASE WHEN x >= 9223372036854775808 THEN CAST(CAST(x AS HUGEINT) - 18446744073709551616 AS BIGINT) ELSE CAST(x AS BIGINT) END AS crc64_xor, total_kvs, total_bytes FROM s""")
 def raw_checksum_crc64(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.checksum(_raw(spark, sf_dir), cf=CF)
 
@@ -476,10 +499,13 @@ def range_task_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.range_tasks(_regions(spark, sf_dir), ranges).select(_key("lo"), _key("hi"))
 
 
-@query("min_safe_ts", "SELECT CAST(s_nationkey % 4 AS VARCHAR) AS scope, min(CASE WHEN s_suppkey % 97 = 0 THEN 0 ELSE s_suppkey * 10 END) AS safe_ts FROM supplier GROUP BY 1")
+@query("min_safe_ts", """
+    WITH s AS (SELECT CAST(s_nationkey % 9 AS VARCHAR) AS scope, CASE WHEN s_suppkey % 97 = 3 THEN NULL WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey * 10 END AS ts FROM supplier)
+    SELECT scope, CAST(CASE WHEN count(*) > count(ts) THEN 0 WHEN max(ts) = 0 THEN 0 ELSE min(ts) FILTER (ts <> 0) END AS BIGINT) AS safe_ts FROM s GROUP BY scope""")
 def min_safe_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores with a time, with zero and without any."""
     k = F.col("s_suppkey")
-    stores = src.table(spark, sf_dir, "supplier").select(k.alias("store_id"), (F.col("s_nationkey") % 4).cast("string").alias("scope"), F.when(k % 97 != 0, k * 10).alias("safe_ts"))
+    stores = src.table(spark, sf_dir, "supplier").select(k.alias("store_id"), (F.col("s_nationkey") % 9).cast("string").alias("scope"), F.when(k % 97 == 3, None).when(k % 3 == 0, 0).otherwise(k * 10).alias("safe_ts"))
     return maintenance.min_safe_ts(stores)
 
 
