@@ -5,9 +5,10 @@ classes by a hash; hidden states emit classes, and a class emits its tokens by t
 of the class's training tokens.  Both factors are probabilities of the text, so the scaled forward
 recursion over the classes plus the sum of the tokens' shares is the model's exact likelihood.
 
-Baum-Welch: every round runs forward and backward over all training texts, cut into stretches of
-``STRETCH`` tokens, in every partition; expected counts are added across partitions and only the
-sums (classes x states numbers) reach the driver.  Token counts cover all training texts: the distinct
+Baum-Welch: every round runs forward and backward over all whole training texts in every partition;
+expected counts are added across partitions and only the sums (classes x states numbers) reach the driver.  Longer texts
+are held as stretches of ``STRETCH`` tokens with exact messages at their borders, so a text of any length takes bounded
+memory and loses no transition.  Token counts cover all training texts: the distinct
 tokens of each chunk of texts meet once by token, where their counts are summed, and go back to their
 chunk as numbers, never as a whole vocabulary.  A token has at most one row a chunk, however frequent.
 
@@ -31,8 +32,12 @@ from strata.llm.common import Scratch, fold
 
 STATES = 8
 CLASSES = 1 << 14
-ROUNDS = 6
-STRETCH = 48
+#: Rounds of training at most, and the gain in log likelihood a token below which it ends.
+ROUNDS, SETTLED = 6, 1e-4
+#: Tokens of a stretch, and tokens (with padding) that are worked out together.
+STRETCH, TOGETHER = 2048, 1 << 18
+#: Classes whose sums travel in one row, and partitions whose rows are added first.
+BLOCK, FAN = 256, 512
 #: Bytes of text in a chunk, about, and the token that ends a text (no word holds a space).
 CHUNK = 16 << 20
 END = b" "
@@ -138,43 +143,103 @@ class Parameters:
         return out
 
 
-def _expected(sequences: list[np.ndarray], p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of the stretches of the sequences."""
+def _padded(part: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences, longest first, as columns, and how many are still going on at each step."""
+    lengths = np.array([len(s) for s in part])
+    x = np.zeros((lengths[0], len(part)), dtype=np.int64)
+    for row, s in enumerate(part):
+        x[: len(s), row] = s
+    return x, np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
+
+
+def _groups(order: list[int], lengths: list[int]):
+    """Runs of pieces, longest first, of about ``TOGETHER`` tokens with padding."""
+    lo = 0
+    while lo < len(order):
+        hi = min(len(order), lo + max(1, TOGETHER // lengths[order[lo]]))
+        yield order[lo:hi]
+        lo = hi
+
+
+def _borders(texts: list[np.ndarray], p: Parameters) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The texts cut into stretches, with the forward message into each and the backward message out of it.
+
+    A stretch acts on messages as a matrix, the product of its steps.  The matrices of all stretches of longer texts are
+    worked out together, and a pass over them per text gives the messages at the borders: so the expected counts are
+    those of whole texts, while no text is held by steps.  A text's first stretch has no message into it (zeros).
+    """
     k = len(p.start)
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(p.emit)
-    pieces = [s[a : a + STRETCH] for s in sequences for a in range(0, len(s), STRETCH)]
-    pieces.sort(key=len, reverse=True)
-    for lo in range(0, len(pieces), 4096):
-        part = pieces[lo : lo + 4096]
-        lengths = np.array([len(s) for s in part])
-        n, steps = len(part), lengths[0]
-        x = np.zeros((steps, n), dtype=np.int64)
-        for row, s in enumerate(part):
-            x[: len(s), row] = s
-        live = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")
+    pieces = [s[a : a + STRETCH] for s in texts for a in range(0, len(s), STRETCH)]
+    into, out = np.zeros((len(pieces), k)), np.ones((len(pieces), k))
+    spans, at = [], 0
+    for s in texts:
+        n = -(-len(s) // STRETCH)
+        if n > 1:
+            spans.append((at, at + n))
+        at += n
+    which = [j for a, b in spans for j in range(a, b)]
+    first = {a for a, _ in spans}
+    matrices = {}
+    lengths = [len(s) for s in pieces]
+    for own in _groups(sorted(which, key=lambda j: -lengths[j]), lengths):
+        x, live = _padded([pieces[j] for j in own])
+        e = p.emit[x]
+        now = np.where(np.array([j in first for j in own])[:, None, None], np.eye(k), p.move) * e[0][:, None, :]
+        now /= now.sum(axis=(1, 2), keepdims=True)
+        for t in range(1, len(x)):
+            m = live[t]
+            step = (now[:m].reshape(-1, k) @ p.move).reshape(m, k, k) * e[t, :m, None, :]
+            now[:m] = step / step.sum(axis=(1, 2), keepdims=True)
+        matrices.update(zip(own, now, strict=True))
+    for a, b in spans:
+        message = p.start
+        for j in range(a, b - 1):
+            message = message @ matrices[j]
+            message = into[j + 1] = message / message.sum()
+        message = np.ones(k)
+        for j in range(b - 1, a, -1):
+            message = matrices[j] @ message
+            message = out[j - 1] = message / message.sum()
+    return pieces, into, out
+
+
+def _expected(texts: list[np.ndarray], p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions of whole texts, and their log likelihood."""
+    k = len(p.start)
+    starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros_like(p.emit), 0.0
+    pieces, into, out = _borders(texts, p)
+    lengths = [len(s) for s in pieces]
+    for own in _groups(sorted(range(len(pieces)), key=lambda j: -lengths[j]), lengths):
+        x, live = _padded([pieces[j] for j in own])
+        steps, n = x.shape
+        ends = np.array([lengths[j] for j in own]) - 1
+        before, after = into[own], out[own]
+        opens = ~before.any(axis=1)
         e = p.emit[x]
         alpha = np.zeros((steps, n, k))
         scale = np.ones((steps, n))
         for t in range(steps):
             m = live[t]
-            now = (p.start if t == 0 else alpha[t - 1, :m] @ p.move) * e[t, :m]
+            prior = np.where(opens[:, None], p.start, before @ p.move) if t == 0 else alpha[t - 1, :m] @ p.move
+            now = prior * e[t, :m]
             scale[t, :m] = now.sum(axis=1)
             alpha[t, :m] = now / scale[t, :m, None]
-        beta = np.ones((n, k))
+        total += np.log(scale).sum()
+        beta = after / (alpha[ends, np.arange(n)] * after).sum(axis=1, keepdims=True)
         for t in range(steps - 1, -1, -1):
             m = live[t]
+            ahead = e[t, :m] * beta[:m] / scale[t, :m, None]
             gamma = alpha[t, :m] * beta[:m]
-            gamma /= gamma.sum(axis=1, keepdims=True)
             if t:
-                ahead = e[t, :m] * beta[:m] / scale[t, :m, None]
                 moves += alpha[t - 1, :m].T @ ahead * p.move
                 beta[:m] = ahead @ p.move.T
             else:
-                starts += gamma.sum(axis=0)
+                starts += gamma[opens].sum(axis=0)
+                moves += before.T @ ahead * p.move
             alpha[t, :m] = gamma
         for j in range(k):
             emits[:, j] += np.bincount(x.ravel(), weights=alpha[:, :, j].ravel(), minlength=len(emits))
-    return starts, moves, emits
+    return starts, moves, emits, float(total)
 
 
 def _begin(classes: np.ndarray, states: int) -> Parameters:
@@ -187,42 +252,66 @@ def _begin(classes: np.ndarray, states: int) -> Parameters:
     return Parameters(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def baum_welch(spark: SparkSession, texts: DataFrame, class_counts: np.ndarray, *, states: int = STATES, rounds: int = ROUNDS) -> Parameters:
-    """Rounds of expected counts over all training texts; add-half smoothing by the classes' shares keeps all positive."""
+def _sums(train: DataFrame, p: Parameters) -> dict[int, np.ndarray]:
+    """Expected counts of all training texts: per block of classes, and under -1 starts, moves and the log likelihood.
+
+    A partition adds up its own texts and sends one row a block.  Rows are added in two steps, ``FAN`` partitions first,
+    so that no task holds a block's rows of all partitions.
+    """
+    shared = train.sparkSession.sparkContext.broadcast((p.start, p.move, p.emit))
+
+    def local(batches):
+        from pyspark import TaskContext
+
+        own = Parameters(*shared.value)
+        k = len(own.start)
+        edge, emits = np.zeros(k + k * k + 1), np.zeros_like(own.emit)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                starts, moves, emitted, total = _expected([np.frombuffer(b, "<u2") for b in batch.column(0).slice(lo, 2048).to_pylist()], own)
+                edge += np.concatenate([starts, moves.ravel(), [total]])
+                emits += emitted
+        parts = emits.reshape(-1, BLOCK * k)
+        n = len(parts) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*range(n - 1), -1], pa.int32()), pa.array([TaskContext.get().partitionId() // FAN] * n, pa.int32()), pa.array([*(r.tobytes() for r in parts), edge.tobytes()], pa.binary())], ["block", "fan", "sums"]
+        )
+
+    def add(key, table):
+        total = np.zeros(0)
+        for chunk in table.column("sums").chunks:
+            for x in chunk:
+                row = np.frombuffer(x.as_py())
+                total = total + row if total.size else row
+        return pa.table({**{c: pa.array([v.as_py()], pa.int32()) for c, v in zip(("block", "fan"), key)}, "sums": pa.array([total.tobytes()], pa.binary())})
+
+    few = train.mapInArrow(local, "block int, fan int, sums binary").groupBy("block", "fan").applyInArrow(add, "block int, fan int, sums binary")
+    out = {r["block"]: np.frombuffer(r["sums"]) for r in few.groupBy("block").applyInArrow(add, "block int, sums binary").collect()}  # CLASSES / BLOCK rows
+    shared.unpersist()
+    return out
+
+
+def baum_welch(spark: SparkSession, texts: DataFrame, class_counts: np.ndarray, *, states: int = STATES, rounds: int = ROUNDS, settled: float = SETTLED) -> Parameters:
+    """Rounds of expected counts over all training texts; add-half smoothing by the classes' shares keeps all positive.
+
+    Ends after ``rounds``, or when a round raises the log likelihood a token by less than ``settled``.
+    """
     p = _begin(class_counts, states)
     prior = (class_counts + 0.5) / (class_counts + 0.5).sum()
     train = texts.where("NOT held_out").select("classes")
-    block = 256
+    before = -np.inf
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((p.start, p.move, p.emit))
-
-        def local(batches, shared=shared):
-            own = Parameters(*shared.value)
-            k = len(own.start)
-            starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emit)
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 2048):
-                    found = _expected([np.frombuffer(b, "<u2") for b in batch.column(0).slice(lo, 2048).to_pylist()], own)
-                    starts += found[0]
-                    moves += found[1]
-                    emits += found[2]
-            parts = emits.reshape(-1, block * k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*range(len(parts)), -1], pa.int32()), pa.array([*(r.tobytes() for r in parts), np.append(starts, moves.ravel()).tobytes()], pa.binary())], ["block", "sums"]
-            )
-
-        def add(key, table):
-            total = sum(np.frombuffer(b) for b in table.column("sums").to_pylist())
-            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
-
-        sums = {r["block"]: np.frombuffer(r["sums"]) for r in train.mapInArrow(local, "block int, sums binary").groupBy("block").applyInArrow(add, "block int, sums binary").collect()}
+        sums = _sums(train, p)
         if not sums:
             break
         edge = sums.pop(-1)
-        starts, moves = edge[:states] + 0.5, edge[states:].reshape(states, states) + 0.5
-        emits = np.concatenate([sums[k].reshape(block, states) for k in sorted(sums)]) + 50 * prior[:, None]
+        starts, moves = edge[:states] + 0.5, edge[states:-1].reshape(states, states) + 0.5
+        emits = np.concatenate([sums[k].reshape(BLOCK, states) for k in sorted(sums)]) + 50 * prior[:, None]
         p = Parameters(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
-        shared.unpersist()
+        now = edge[-1] / max(class_counts.sum(), 1)
+        if now - before < settled:
+            break
+        before = now
     return p
 
 

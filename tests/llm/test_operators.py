@@ -49,7 +49,7 @@ def test_baum_welch_step_raises_the_likelihood():
     p = parameters(4, 4)
     before = p.score(seqs).sum()
     for _ in range(5):
-        starts, moves, emits = hmm._expected(seqs, p)
+        starts, moves, emits, _ = hmm._expected(seqs, p)
         assert abs(emits.sum() - 1000) < 1e-6 and abs(starts.sum() - 50) < 1e-6 and abs(moves.sum() - 950) < 1e-6
         p = hmm.Parameters(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
         now = p.score(seqs).sum()
