@@ -200,6 +200,39 @@ def decode_range(lo: Column, hi: Column, keyspace: int, mode: int = TXN_MODE) ->
     return F.when(~outside, F.when(lo <= start, F.lit(b"")).otherwise(cut(lo))), F.when(~outside, F.when((hi == F.lit(b"")) | (hi >= end), F.lit(b"")).otherwise(cut(hi)))
 
 
+def encode_region_key(key: Column, keyspace: int, mode: int = TXN_MODE) -> Column:
+    """The form in which region borders are kept: keyspace prefix first, then memcomparable."""
+    return encode_bytes(encode_key(key, keyspace, mode))
+
+
+def decode_region_key(encoded: Column, keyspace: int, mode: int = TXN_MODE) -> Column:
+    return decode_key(decode_bytes(encoded), keyspace, mode)
+
+
+def decode_bucket_keys(borders: Column, keyspace: int, mode: int = TXN_MODE) -> Column:
+    """An array of encoded bucket borders as borders within the keyspace.
+
+    A first border before the keyspace and a last one after it become empty (open); others outside are left out, as is
+    the keyspace's own start after an open first border.  A border that cannot be decoded makes the result null.
+    """
+    start, end = (F.lit(x) for x in encode_range(b"", b"", keyspace, mode))
+    plain = F.transform(borders, lambda k: F.when(F.octet_length(k) > 0, decode_bytes(k)).otherwise(F.lit(b"")))
+    n = F.size(plain)
+
+    def place(k: Column, i: Column) -> Column:
+        return (
+            F.when((i == 0) & (k < start), F.lit(b""))
+            .when((i == n - 1) & ((F.octet_length(k) == 0) | (k >= end)), F.lit(b""))
+            .when(F.substring(k, 1, 4) == start, F.substring(k, F.lit(5), F.octet_length(k)))
+        )
+
+    placed = F.transform(plain, place)
+    inner = F.transform(placed, lambda k, i: F.struct(k.alias("k"), i.alias("i")))
+    open_first = F.octet_length(F.get(placed, F.lit(0))) == 0
+    kept = F.filter(inner, lambda x: x["k"].isNotNull() & ~(open_first & (F.octet_length(x["k"]) == 0) & (x["i"] > 0) & (F.octet_length(F.get(plain, x["i"])) == 4)))
+    return F.when(F.forall(plain, lambda k: k.isNotNull()), F.transform(kept, lambda x: x["k"]))
+
+
 def keyspace_id(key: Column) -> Column:
     return F.when(F.octet_length(key) >= 4, F.conv(F.hex(F.substring(key, 2, 3)), 16, 10).cast("int"))
 

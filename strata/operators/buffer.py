@@ -102,5 +102,15 @@ def presumes_not_exists(buffer: DataFrame) -> DataFrame:
     return newest(buffer).where(fl.has(F.col("flags"), "presume_not_exists")).select("key")
 
 
+def remove(buffer: DataFrame, keys: DataFrame) -> DataFrame:
+    """Without any write of these keys, as if they had never been buffered."""
+    return buffer.join(keys.select("key").distinct(), "key", "left_anti")
+
+
+def dirty(buffer: DataFrame) -> bool:
+    """Has anything been written?"""
+    return not buffer.isEmpty()
+
+
 def should_flush(keys: int, bytes_: int) -> bool:
     return keys >= FLUSH_KEYS and bytes_ >= FLUSH_BYTES or bytes_ >= FORCE_BYTES

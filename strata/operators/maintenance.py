@@ -88,3 +88,26 @@ def save_safe_point(meta: DataFrame, ts: int, name: str = "gc_safe_point") -> Da
     """``meta`` (name, ts) with the safe point; it never goes back."""
     new = meta.sparkSession.createDataFrame([(name, ts)], "name string, ts long")
     return meta.unionByName(new).groupBy("name").agg(F.max("ts").alias("ts"))
+
+
+def region_properties(versions: DataFrame, regions: DataFrame) -> DataFrame:
+    """(region_id, records, puts, deletes, keys, bytes, newest) of every region with records; keys are counted by their newest record."""
+    from strata.operators.regions import locate_keys
+
+    size = F.octet_length("key") + F.coalesce(F.octet_length("value"), F.lit(0))
+    per_key = versions.groupBy("key").agg(
+        F.count("*").alias("records"), F.count_if(F.col("op") == "put").alias("puts"), F.count_if(F.col("op") == "del").alias("deletes"), F.sum(size).alias("bytes"), F.max("commit_ts").alias("newest"),
+    )
+    found = locate_keys(per_key, regions).where("region_id IS NOT NULL")
+    return found.groupBy("region_id").agg(*[F.sum(c).alias(c) for c in ("records", "puts", "deletes", "bytes")], F.count("*").alias("keys"), F.max("newest").alias("newest"))
+
+
+def touched_regions(regions: DataFrame, lo: bytes, hi: bytes) -> int:
+    """How many regions a range task over ``[lo, hi)`` visits."""
+    ranges = regions.sparkSession.createDataFrame([(bytearray(lo), bytearray(hi))], "lo binary, hi binary")
+    return range_tasks(regions, ranges).count()
+
+
+def least_of_groups(groups: DataFrame) -> DataFrame:
+    """(ts): smallest timestamp over all keyspace groups that have one."""
+    return groups.agg(F.min("ts").alias("ts"))

@@ -300,3 +300,74 @@ def stale_starts(keys: DataFrame, versions: DataFrame) -> DataFrame:
     """(key, start_ts) pairs whose key was committed after the start: a latch would refuse them."""
     newest = versions.where("op <> 'rollback'").groupBy("key").agg(F.max("commit_ts").alias("newest"))
     return keys.join(newest, "key", "left").select(*keys.columns, F.coalesce(F.col("newest") > F.col("start_ts"), F.lit(False)).alias("stale"))
+
+
+def clean_up(keys: DataFrame, versions: DataFrame, locks: DataFrame, start_ts: int, now_ts: int) -> Step:
+    """Roll back a transaction whose lock time is over; a live lock is an error, as is a commit.  ``now_ts`` 0: do not ask the time."""
+    wanted = keys.select("key").distinct()
+    live = locks.where((F.col("start_ts") == start_ts) & ~is_expired_strictly(F.col("start_ts"), F.col("ttl_ms"), F.lit(now_ts))).select("key", F.lit(True).alias("live")) if now_ts else locks.limit(0).select("key", F.lit(True).alias("live"))
+    step = rollback(wanted.join(live, "key", "left_anti"), versions, locks, start_ts)
+    held = wanted.join(live, "key").select("key", F.lit(f"locked by {start_ts}").alias("error"))
+    results = step.results.unionByName(held)
+    if not held.isEmpty():
+        return Step(versions, locks, results)
+    return Step(step.versions, step.locks, results)
+
+
+def same_outcome(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(primary, start_ts, same): do two status tables agree on a final outcome, the same commit time or both rolled back?"""
+    final = lambda t: t.select("primary", "start_ts", "commit_ts", is_rolled_back(F.col("ttl_ms"), F.col("commit_ts"), F.col("action")).alias("back"))
+    left, right = final(a).alias("a"), final(b).alias("b")
+    joined = left.join(right, ["primary", "start_ts"])
+    same = (is_committed(F.col("a.commit_ts")) & (F.col("a.commit_ts") == F.col("b.commit_ts"))) | (F.col("a.back") & F.col("b.back"))
+    return joined.select("primary", "start_ts", same.alias("same"))
+
+
+def fair_retry(previous: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(to release, previous) at the start of another attempt of a statement, from the keys that the last two locked.
+
+    Keys of the attempt before that were not wanted again are released; those of the ended attempt may be taken over.
+    """
+    return previous.join(current.select("key"), "key", "left_anti"), current
+
+
+def fair_done(previous: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(to release, to keep) when the statement has succeeded."""
+    return previous.join(current.select("key"), "key", "left_anti"), current
+
+
+def fair_cancel(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """Keys to release when the statement is given up: all that its attempts locked."""
+    return previous.select("key").unionByName(current.select("key")).distinct()
+
+
+def unfold_shared(locks: DataFrame, holders: str = "holders") -> DataFrame:
+    """A row per holder: a shared lock lists its holders as structs (start_ts, ttl_ms, ...) that take the place of its own columns."""
+    inner = [f.name for f in locks.schema[holders].dataType.elementType.fields]
+    rest = [c for c in locks.columns if c not in (holders, *inner)]
+    single = locks.where((F.col("op") != "shared") | F.col(holders).isNull()).select(*rest, *inner)
+    many = locks.where(F.col("op") == "shared").select(*rest, F.explode(holders).alias("__h")).select(*rest, *[F.col(f"__h.{c}").alias(c) for c in inner])
+    return single.unionByName(many).select(*[c for c in locks.columns if c != holders])
+
+
+def flashback(versions: DataFrame, ts: int, start_ts: int, commit_ts: int, lo: bytes | None = None, hi: bytes | None = None) -> DataFrame:
+    """New versions that bring the keys of ``[lo, hi)`` back to their state at ``ts``: old values again, and deletes.
+
+    A key whose newest write is not after ``ts`` needs none.
+    """
+    from strata.operators.mvcc import in_range
+
+    rows = versions.where(in_range(F.col("key"), lo, hi) & F.col("op").isin("put", "del"))
+    past = F.col("commit_ts") <= ts
+    order = F.struct("commit_ts", "start_ts")
+    per_key = rows.groupBy("key").agg(
+        F.max("commit_ts").alias("newest"), F.max_by(F.struct("op", "value"), F.when(past, order)).alias("then"), F.max_by("op", order).alias("now"),
+    ).where(F.col("newest") > ts)
+    was_there = F.coalesce(F.col("then.op") == "put", F.lit(False))
+    back = per_key.where(was_there | (F.col("now") == "put"))
+    return back.select("key", F.lit(start_ts).alias("start_ts"), F.lit(commit_ts).alias("commit_ts"), F.when(was_there, "put").otherwise("del").alias("op"), F.when(was_there, F.col("then.value")).alias("value"))
+
+
+def latest_commit_ts(start: Column, now_ms: Column, longest_ms: int) -> Column:
+    """The last commit timestamp that a transaction may take: now plus the longest safe window, from its start on."""
+    return F.greatest(start, F.shiftleft(now_ms + longest_ms, 18))

@@ -555,3 +555,7 @@ def varint_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stale_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = src.table(spark, sf_dir, "customer").select(codecs.encode_uint(F.col("c_custkey")).alias("key"), F.lit(READ_AT).alias("start_ts"))
     return _show(transactions.stale_starts(keys, _versions(spark, sf_dir)).drop("start_ts"))
+
+
+# Further queries register themselves in the same tables.
+from strata.plans import protocol  # noqa: E402, F401

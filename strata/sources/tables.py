@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +94,79 @@ def regions_from_orders(orders: DataFrame, width: int = 1000) -> DataFrame:
         (F.col("r") + 1).alias("region_id"), F.when(F.col("r") == 0, F.lit(b"")).otherwise(codecs.encode_uint(F.col("r") * width)).alias("lo"),
         F.when(F.col("r") == F.col("most"), F.lit(b"")).otherwise(codecs.encode_uint((F.col("r") + 1) * width)).alias("hi"),
     )
+
+
+def transaction_from_customers(customer: DataFrame, start_ts: int, commit_ts: int) -> tuple[DataFrame, DataFrame]:
+    """(versions, locks) around one transaction whose keys are customers in every state, by the key modulo 7.
+
+    0: locked; 1: locked by another transaction; 2: committed; 3: rolled back; 4: untouched; 5: locked, and to be committed
+    after ``commit_ts`` only; 6: locked ahead of writing.  Even keys have an older version, some a newer one.
+    """
+    c = F.col("c_custkey")
+    state, key = c % 7, codecs.encode_uint(c).alias("key")
+    version = lambda where, start, commit, op, value: customer.where(where).select(key, F.lit(start).alias("start_ts"), F.lit(commit).alias("commit_ts"), F.lit(op).alias("op"), F.lit(value).cast("binary").alias("value"))
+    versions = (
+        version(c % 2 == 0, start_ts - 1001, start_ts - 1000, "put", b"old")
+        .unionByName(version(state == 2, start_ts, start_ts + 50, "put", b"own"))
+        .unionByName(version(state == 3, start_ts, start_ts, "rollback", None))
+        .unionByName(version(c % 14 == 4, start_ts + 499, start_ts + 500, "put", b"new"))
+    )
+    locks = customer.where(state.isin(0, 1, 5, 6)).select(
+        key, key.alias("primary"), F.when(state == 1, start_ts + 7).otherwise(start_ts).alias("start_ts"), F.when(state == 6, "pessimistic").otherwise("put").alias("op"),
+        F.lit(b"own").alias("value"), (c * 10).alias("ttl_ms"), F.when(state == 6, start_ts + 3).otherwise(0).alias("for_update_ts"), F.lit(1).cast("long").alias("txn_size"),
+        F.when(state == 5, commit_ts + 1).when(state == 6, 0).otherwise(start_ts + 8).alias("min_commit_ts"), F.lit(False).alias("use_async_commit"),
+        F.lit(None).cast("array<binary>").alias("secondaries"), F.lit(0).cast("long").alias("generation"),
+    )
+    return versions, locks
+
+
+def writes_from_orders(orders: DataFrame) -> DataFrame:
+    """A buffer in which customers are written once an order: every fourth write is flags only, the next one a delete."""
+    k = F.col("o_orderkey")
+    value = F.when(k % 4 == 0, F.lit(None).cast("binary")).when(k % 4 == 1, F.lit(b"")).otherwise(F.encode(F.concat(F.lit("v"), k.cast("string")), "UTF-8"))
+    return orders.select(codecs.encode_uint(F.col("o_custkey")).alias("key"), value.alias("value"), (k % 16384).cast("int").alias("flags"), (k % 3).cast("int").alias("stage"), k.alias("op_seq"))
+
+
+#: Names of the file that names the current tables of a published set, and of the folders of its states.
+CURRENT, STATE = "CURRENT", "state-"
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path itself: any store that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
+    """Store the tables of one step as a new state of the set at ``root``; readers see all of them or none.
+
+    The state lies in a folder of its own, and one small file, which is replaced last, names it.
+    """
+    folder = f"{STATE}{uuid.uuid4().hex}"
+    for kind, df in tables.items():
+        write(df, f"{root}/{folder}/{kind}", kind)
+    files, current = _fs(spark, f"{root}/{CURRENT}")
+    _, fresh = _fs(spark, f"{root}/{folder}.{CURRENT}")
+    out = files.create(fresh, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(current.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.java.lang.reflect.Array.newInstance(spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    overwrite[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(fresh, current, overwrite)
+    return folder
+
+
+def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the current state at ``root``."""
+    folder = spark.read.text(f"{root}/{CURRENT}").first()["value"]
+    files, where = _fs(spark, f"{root}/{folder}")
+    kinds = [s.getPath().getName() for s in files.listStatus(where)]
+    return {kind: read(spark, f"{root}/{folder}/{kind}", kind) for kind in kinds}
+
+
+def destroy_range(spark: SparkSession, root: str, lo: bytes, hi: bytes) -> str:
+    """A new state of the set at ``root`` without any row of ``[lo, hi)``: versions, locks and raw rows alike, at once."""
+    from strata.operators.maintenance import delete_range
+
+    return publish(spark, root, {kind: delete_range(df, lo, hi) if "key" in df.columns else df for kind, df in published(spark, root).items()})
