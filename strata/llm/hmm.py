@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,64 +36,94 @@ CLASSES = 1 << 14
 #: Rounds of training at most, and the gain in log likelihood a token below which it ends.
 ROUNDS, SETTLED = 6, 1e-4
 #: Tokens of a stretch, and tokens (with padding) that are worked out together.
-STRETCH, TOGETHER = 2048, 1 << 18
+STRETCH, TOGETHER = 2048, 1 << 19
 #: Classes whose sums travel in one row, and partitions whose rows are added first.
 BLOCK, FAN = 256, 512
-#: Bytes of text in a chunk, about, and the token that ends a text (no word holds a space).
-CHUNK = 16 << 20
+#: Bytes of text in a chunk, about, how many texts it has at most, and the token that ends a text (no word holds a space).
+CHUNK, MOST_TEXTS = 16 << 20, 32_768
 END = b" "
 
 
+#: Bytes that separate words, and bytes with A-Z lower-cased.
+SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LOWERED = np.array([k + 32 if 0x41 <= k <= 0x5A else k for k in range(256)], dtype=np.uint8)
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Number of every token in order, the distinct tokens by number, and where each text's tokens end.
+
+    The bytes of words are moved together, so that they form one Arrow column, which is dictionary-encoded.
+    """
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, buffer = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = (np.frombuffer(buffer, dtype=np.uint8) if buffer is not None and buffer.size else np.zeros(0, dtype=np.uint8))[at[0] : at[-1]]
+    begins, ends = at[:-1] - at[0], at[1:] - at[0]
+    inside = ~SPACES[data]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    first = begins[begins < len(data)]
+    starts[first] = inside[first]
+    reached = np.concatenate([[0], np.cumsum(starts)])
+    packed = LOWERED[data[inside]]
+    edges = np.append(np.flatnonzero(starts[inside]), len(packed))
+    # The empty word stands for the end of a text.
+    last = reached[ends]
+    edges = np.insert(edges[:-1], last, edges[last])
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges), [None, pa.py_buffer(np.append(edges, len(packed))), pa.py_buffer(packed)])
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(), [w or END for w in coded.dictionary.to_pylist()], last + np.arange(1, len(texts) + 1)
+
+
+def _slices(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A row of bytes for each stretch of numbers."""
+    offsets = np.append(0, ends).astype(np.int64) * numbers.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(numbers)]).cast(pa.binary())
+
+
 def _chunks(batches, start: int):
     """Encode batches of (doc_id, held_out, text) into rows of texts and of the chunk's vocabulary."""
-    local: dict[bytes, int] = {}
-    classes: list[int] = []
-    counts: list[int] = []
-    texts: list[tuple] = []
-    size, number = 0, start
-
-    def number_of(token: bytes) -> int:
-        k = local.setdefault(token, len(local))
-        if k == len(classes):
-            classes.append(xxhash.xxh64_intdigest(token) % CLASSES)
-            counts.append(0)
-        return k
+    parts: list[pa.RecordBatch] = []
+    size = rows = 0
+    number = start
 
     def flush():
-        table = np.array(classes, dtype="<u2")
-        seen = np.zeros(len(classes), dtype=np.int64)
-        for _, held, tokens in texts:
-            if not held:
-                seen += np.bincount(tokens, minlength=len(classes))
-        n, v = len(texts), len(local)
-        chunk = pa.array([number] * n, pa.int64())
-        yield "text", pa.RecordBatch.from_arrays(
+        table = pa.Table.from_batches(parts).combine_chunks()
+        ids, held, texts = (table.column(k).chunk(0) for k in range(3))
+        tokens, words, ends = _words(texts)
+        classes = np.fromiter((xxhash.xxh64_intdigest(w) % CLASSES for w in words), dtype="<u2", count=len(words))
+        train = np.repeat(~held.to_numpy(zero_copy_only=False).astype(bool), np.diff(ends, prepend=0))
+        n, v = len(ids), len(words)
+        yield pa.RecordBatch.from_arrays(
             [
-                pa.array(["text"] * n, pa.string()), chunk, pa.array([t[0] for t in texts], pa.int64()), pa.array([t[1] for t in texts], pa.bool_()),
-                pa.array([t[2].tobytes() for t in texts], pa.binary()), pa.array([table[t[2]].tobytes() for t in texts], pa.binary()),
+                pa.array(["text"] * n, pa.string()), pa.array(np.full(n, number)), ids, held, _slices(tokens.astype("<i4"), ends), _slices(classes[tokens], ends),
                 pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
             ],
             names=NAMES,
         )
-        yield "word", pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [
-                pa.array(["word"] * v, pa.string()), pa.array([number] * v, pa.int64()), pa.array(range(v), pa.int64()), pa.nulls(v, pa.bool_()), pa.nulls(v, pa.binary()),
-                pa.nulls(v, pa.binary()), pa.array(list(local), pa.binary()), pa.array(seen, pa.int64()), pa.array(table.astype(np.int32), pa.int32()),
+                pa.array(["word"] * v, pa.string()), pa.array(np.full(v, number)), pa.array(np.arange(v)), pa.nulls(v, pa.bool_()), pa.nulls(v, pa.binary()),
+                pa.nulls(v, pa.binary()), pa.array(words, pa.binary()), pa.array(np.bincount(tokens[train], minlength=v)), pa.array(classes.astype(np.int32)),
             ],
             names=NAMES,
         )
 
     for batch in batches:
-        for doc_id, held, text in zip(*(batch.column(k) for k in range(3)), strict=True):
-            words = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
-            size += len(words)
-            tokens = np.fromiter(map(number_of, [*words.split(), END]), dtype="<i4")
-            texts.append((doc_id.as_py(), held.as_py(), tokens))
-            if size >= CHUNK or len(texts) >= 32768:
+        lo = 0
+        lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy()
+        reached = np.cumsum(lengths)
+        while lo < batch.num_rows:
+            done = reached[lo - 1] if lo else 0
+            hi = min(lo + MOST_TEXTS - rows, int(np.searchsorted(reached, done + CHUNK - size)) + 1, batch.num_rows)
+            parts.append(batch.slice(lo, hi - lo))
+            size, rows = size + int(reached[hi - 1] - done), rows + hi - lo
+            lo = hi
+            if size >= CHUNK or rows >= MOST_TEXTS:
                 yield from flush()
-                local.clear(), classes.clear(), counts.clear(), texts.clear()
-                size, number = 0, number + 1
-    if texts:
+                parts.clear()
+                size, rows, number = 0, 0, number + 1
+    if parts:
         yield from flush()
 
 
@@ -106,8 +137,7 @@ def encode(docs: DataFrame, scratch: Scratch, *, id_col: str, text_col: str) ->
     def run(batches):
         from pyspark import TaskContext
 
-        for _, rows in _chunks(batches, TaskContext.get().partitionId() << 33):
-            yield rows
+        yield from _chunks(batches, TaskContext.get().partitionId() << 33)
 
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), 5) == 1).alias("held_out"), F.col(text_col).alias("text"))
     coded = scratch.save(docs.mapInArrow(run, SCHEMA), "coded", partition_by="kind")
@@ -203,10 +233,17 @@ def _borders(texts: list[np.ndarray], p: Parameters) -> tuple[list[np.ndarray],
     return pieces, into, out
 
 
-def _expected(texts: list[np.ndarray], p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions of whole texts, and their log likelihood."""
+def _rooms(states: int) -> np.ndarray:
+    """Memory for the messages of one group of pieces."""
+    return np.empty((3, max(TOGETHER, STRETCH) * states))
+
+
+def _expected(texts: list[np.ndarray], p: Parameters, rooms: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions of whole texts, and their log likelihood.  ``rooms``: memory to use again, see ``_rooms``."""
     k = len(p.start)
+    rooms = _rooms(k) if rooms is None else rooms
     starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros_like(p.emit), 0.0
+    ones, back = np.ones(k), np.ascontiguousarray(p.move.T)
     pieces, into, out = _borders(texts, p)
     lengths = [len(s) for s in pieces]
     for own in _groups(sorted(range(len(pieces)), key=lambda j: -lengths[j]), lengths):
@@ -215,28 +252,33 @@ def _expected(texts: list[np.ndarray], p: Parameters) -> tuple[np.ndarray, np.nd
         ends = np.array([lengths[j] for j in own]) - 1
         before, after = into[own], out[own]
         opens = ~before.any(axis=1)
-        e = p.emit[x]
-        alpha = np.zeros((steps, n, k))
+        alpha, beta, e = (room[: x.size * k].reshape(steps, n, k) for room in rooms)
+        p.emit.take(x.ravel(), axis=0, out=e.reshape(-1, k), mode="clip")
         scale = np.ones((steps, n))
         for t in range(steps):
             m = live[t]
-            prior = np.where(opens[:, None], p.start, before @ p.move) if t == 0 else alpha[t - 1, :m] @ p.move
-            now = prior * e[t, :m]
-            scale[t, :m] = now.sum(axis=1)
-            alpha[t, :m] = now / scale[t, :m, None]
-        total += np.log(scale).sum()
-        beta = after / (alpha[ends, np.arange(n)] * after).sum(axis=1, keepdims=True)
-        for t in range(steps - 1, -1, -1):
-            m = live[t]
-            ahead = e[t, :m] * beta[:m] / scale[t, :m, None]
-            gamma = alpha[t, :m] * beta[:m]
+            now = alpha[t, :m]
             if t:
-                moves += alpha[t - 1, :m].T @ ahead * p.move
-                beta[:m] = ahead @ p.move.T
+                np.matmul(alpha[t - 1, :m], p.move, out=now)
             else:
-                starts += gamma[opens].sum(axis=0)
-                moves += before.T @ ahead * p.move
-            alpha[t, :m] = gamma
+                now[:] = np.where(opens[:, None], p.start, before @ p.move)
+            now *= e[t, :m]
+            scale[t, :m] = now @ ones
+            now /= scale[t, :m, None]
+            # Nothing is left of texts that are over.
+            alpha[t, m:] = beta[t, m:] = e[t, m:] = 0
+        total += np.log(scale).sum()
+        beta[ends, np.arange(n)] = after / (alpha[ends, np.arange(n)] * after).sum(axis=1, keepdims=True)
+        # From here on ``e`` holds what the backward message carries over a step: zero where the text is over.
+        e /= scale[:, :, None]
+        e[steps - 1] *= beta[steps - 1]
+        for t in range(steps - 2, -1, -1):
+            m = live[t + 1]
+            np.matmul(e[t + 1, :m], back, out=beta[t, :m])
+            e[t] *= beta[t]
+        starts += (alpha[0] * beta[0])[opens].sum(axis=0)
+        moves += (before.T @ e[0] + alpha[:-1].reshape(-1, k).T @ e[1:].reshape(-1, k)) * p.move
+        alpha *= beta
         for j in range(k):
             emits[:, j] += np.bincount(x.ravel(), weights=alpha[:, :, j].ravel(), minlength=len(emits))
     return starts, moves, emits, float(total)
@@ -265,12 +307,12 @@ def _sums(train: DataFrame, p: Parameters) -> dict[int, np.ndarray]:
 
         own = Parameters(*shared.value)
         k = len(own.start)
-        edge, emits = np.zeros(k + k * k + 1), np.zeros_like(own.emit)
+        edge, emits, rooms = np.zeros(k + k * k + 1), np.zeros_like(own.emit), _rooms(k)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                starts, moves, emitted, total = _expected([np.frombuffer(b, "<u2") for b in batch.column(0).slice(lo, 2048).to_pylist()], own)
-                edge += np.concatenate([starts, moves.ravel(), [total]])
-                emits += emitted
+            # Many texts at once: pieces of like length then step together.
+            starts, moves, emitted, total = _expected([np.frombuffer(b, "<u2") for b in batch.column(0).to_pylist()], own, rooms)
+            edge += np.concatenate([starts, moves.ravel(), [total]])
+            emits += emitted
         parts = emits.reshape(-1, BLOCK * k)
         n = len(parts) + 1
         yield pa.RecordBatch.from_arrays(
