@@ -229,7 +229,7 @@ def decode_bucket_keys(borders: Column, keyspace: int, mode: int = TXN_MODE) ->
     placed = F.transform(plain, place)
     inner = F.transform(placed, lambda k, i: F.struct(k.alias("k"), i.alias("i")))
     open_first = F.octet_length(F.get(placed, F.lit(0))) == 0
-    kept = F.filter(inner, lambda x: x["k"].isNotNull() & ~(open_first & (F.octet_length(x["k"]) == 0) & (x["i"] > 0) & (F.octet_length(F.get(plain, x["i"])) == 4)))
+    kept = F.filter(inner, lambda x: x["k"].isNotNull() & ~(open_first & (F.octet_length(x["k"]) == 0) & (x["i"] > 0) & (F.get(plain, x["i"]) == start)))
     return F.when(F.forall(plain, lambda k: k.isNotNull()), F.transform(kept, lambda x: x["k"]))
 
 

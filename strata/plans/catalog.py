@@ -558,4 +558,4 @@ def stale_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Further queries register themselves in the same tables.
-from strata.plans import protocol  # noqa: E402, F401
+from strata.plans import protocol, stores  # noqa: E402, F401
