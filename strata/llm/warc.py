@@ -41,7 +41,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "urn:page:"
 #: Date of every record, unless the caller states one: reruns then write the same bytes.
 DATE = "2024-01-01T00:00:00Z"
-READ = 1 << 20
+READ, STEP = 1 << 20, 1 << 12
+#: Hadoop's names of stores that Arrow knows by another.
+HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs", "wasb": "abfs", "webhdfs": "hdfs"}
 
 
 def _plan(pages: DataFrame, scratch: Scratch, least: int) -> DataFrame:
@@ -78,9 +80,15 @@ def _dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
 
 
 def _filesystem(uri: str):
+    """File system and path of an URI.  Schemes that only Hadoop knows go through its own client, or their plain name."""
     from pyarrow.fs import FileSystem
 
-    return FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    uri = uri if "://" in uri or uri.startswith("file:") else f"file://{uri}"
+    try:
+        return FileSystem.from_uri(uri)
+    except pa.ArrowInvalid:
+        scheme, _, rest = uri.partition("://")
+        return FileSystem.from_uri(f"{HADOOP_SCHEMES.get(scheme, 'hdfs')}://{rest}")
 
 
 def write_archives(pages: DataFrame, scratch: Scratch, *, archive_bytes: int = ARCHIVE_BYTES, date: str = DATE) -> DataFrame:
@@ -138,39 +146,48 @@ def write_archives(pages: DataFrame, scratch: Scratch, *, archive_bytes: int = A
 
 def frames(stream):
     """Decoded frames of an archive, one at a time; ``stream`` has read(n)."""
-    held = bytearray()
+    held, at = b"", 0
 
     def fill(n: int) -> bool:
-        while len(held) < n:
-            more = stream.read(max(READ, n - len(held)))
+        """At least ``n`` bytes from ``at`` on, unless the stream ends; what lies before is let go."""
+        nonlocal held, at
+        parts = [held[at:]]
+        size = len(held) - at
+        if size >= n:
+            return True
+        while size < n:
+            more = stream.read(max(READ, n - size))
             if not more:
-                return False
-            held.extend(more)
-        return True
+                break
+            parts.append(more)
+            size += len(more)
+        held, at = b"".join(parts), 0
+        return size >= n
 
     dictionary = None
-    if fill(8) and struct.unpack("<I", held[:4])[0] == SKIPPABLE:
-        size = struct.unpack("<I", held[4:8])[0]
+    if fill(8) and struct.unpack("<I", held[at : at + 4])[0] == SKIPPABLE:
+        size = struct.unpack("<I", held[at + 4 : at + 8])[0]
         if not fill(8 + size):
             raise ValueError("the dictionary frame is cut off")
-        raw = bytes(held[8 : 8 + size])
-        del held[: 8 + size]
+        raw = held[at + 8 : at + 8 + size]
+        at += 8 + size
         if raw[:4] == FRAME:
             raw = zstandard.ZstdDecompressor().decompress(raw)
         dictionary = zstandard.ZstdCompressionDict(raw)
     decompressor = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
-    while held or fill(1):
-        if not fill(4) or bytes(held[:4]) != FRAME:
+    while fill(1):
+        if not fill(4) or held[at : at + 4] != FRAME:
             raise ValueError("a record does not start with a zstd frame")
-        frame, parts = decompressor.decompressobj(), []
-        while True:
-            parts.append(frame.decompress(bytes(held)))
-            held.clear()
-            if frame.eof:
-                held.extend(frame.unused_data)
-                break
+        frame, parts, step = decompressor.decompressobj(), [], STEP
+        while not frame.eof:
+            # Small steps first: what lies beyond the frame comes back as a copy.
             if not fill(1):
                 raise ValueError("the last frame is cut off")
+            piece = memoryview(held)[at : at + step]
+            parts.append(frame.decompress(piece))
+            at += len(piece)
+            step = min(2 * step, READ)
+        at -= len(frame.unused_data)
         yield b"".join(parts)
 
 
