@@ -36,7 +36,8 @@ CONTROL = r"(/?(?:SYS|INST|ROLE|s)[\]>])"
 ESCAPE = r"([\[<])(\\*)" + CONTROL
 UNESCAPE = re.compile(r"([\[<])\\(\\*)" + CONTROL)
 TURN = re.compile(r"\[SYS\](?P<system>.*?)\[/SYS\]|\[INST\](?P<user>.*?)\[/INST\]|<s>(?P<assistant>.*?)</s>|\[ROLE\](?P<name>.*?)\[/ROLE\](?P<text>.*?)</s>", re.DOTALL)
-PART_BYTES = 4 << 20
+#: A conversation goes on in another part beyond the first; so many bytes of turns are assembled at once (or one turn).
+PART_BYTES, SLICE_BYTES = 4 << 20, 8 << 20
 FORMATTED = "conv_id long, part int, formatted string, loss array<struct<start:int,length:int>>"
 
 
@@ -108,6 +109,12 @@ def _parts(held: pa.Table, part: int) -> tuple[pa.RecordBatch, pa.Scalar, int]:
     return batch, conv[-1], int(order[-1]) + 1
 
 
+def _sizes(table: pa.Table) -> np.ndarray:
+    """Bytes of every row's role and text."""
+    lengths = [pc.binary_length(table.column(c)).to_numpy() for c in ("role", "text")]
+    return lengths[0].astype(np.int64) + lengths[1]
+
+
 def _format(batches):
     held, last, part = None, None, 0
     for batch in batches:
@@ -120,7 +127,8 @@ def _format(batches):
         if held.slice(ready).nbytes > PART_BYTES:
             ready = held.num_rows
         while ready:
-            n = min(ready, 1 << 16)
+            sizes = np.cumsum(_sizes(held.slice(0, ready)))
+            n = max(1, int(np.searchsorted(sizes, SLICE_BYTES, side="right")))
             same = last is not None and conv[0].equals(last)
             out, last, part = _parts(held.slice(0, n), part if same else 0)
             yield out
@@ -134,10 +142,11 @@ def _format(batches):
 
 def format_conversations(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, part, formatted, loss) from a row per turn."""
-    clean = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), ESCAPE, r"$1\\$2$3")
-    rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), clean(role_col).alias("role"), clean(text_col).alias("text"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(_format, FORMATTED)
+    clean = lambda c: F.regexp_replace(c, ESCAPE, r"$1\\$2$3")
+    rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("raw_role"), F.coalesce(F.col(text_col), F.lit("")).alias("raw_text"))
+    # Ties are ordered by the texts themselves, not by their escaped form.
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "raw_role", "raw_text")
+    return ordered.select("conv_id", clean("raw_role").alias("role"), clean("raw_text").alias("text")).mapInArrow(_format, FORMATTED)
 
 
 def unescape(text: str) -> str:
@@ -158,8 +167,12 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return found
 
 
-def digest_conversations(formatted: DataFrame) -> DataFrame:
-    """A row per conversation read back from its parts, in constant memory per conversation."""
+def digest_conversations(formatted: DataFrame, *, dealt: bool = False) -> DataFrame:
+    """A row per conversation read back from its parts, in constant memory per conversation.
+
+    ``dealt``: the rows come as ``format_conversations`` leaves them, parts of a conversation together and in order, and
+    need not be shuffled again.
+    """
 
     def run(batches):
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -193,5 +206,5 @@ def digest_conversations(formatted: DataFrame) -> DataFrame:
         end()
         yield out()
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    ordered = formatted if dealt else formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
     return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

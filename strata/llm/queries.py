@@ -43,7 +43,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
-    return digest_conversations(format_conversations(turns.unionByName(extra)))
+    return digest_conversations(format_conversations(turns.unionByName(extra)), dealt=True)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
