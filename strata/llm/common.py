@@ -50,20 +50,25 @@ class Scratch:
     """Tables written once into the cluster's shared folder and read back.
 
     Writing cuts lineage: a lost executor costs only the tasks of the running job.
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset
-    (local tests) a temporary folder is made and set.  Files stay until ``clear()``
-    or ``drop()``, because returned DataFrames read them lazily.
+    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset, in local
+    mode, a temporary folder is made and set.  Files stay until ``clear()`` or ``drop()``,
+    because returned DataFrames read them lazily; ``release`` clears all that a program made.
     """
 
+    made: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             context = spark.sparkContext
             if not context.getCheckpointDir():
+                if not context.master.startswith("local"):
+                    raise ValueError("spark.checkpoint.dir names no folder that all executors share")
                 context.setCheckpointDir(tempfile.mkdtemp(prefix="strata-"))
             root = context.getCheckpointDir()
         self.path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        Scratch.made.append(self)
 
     def save(self, df: DataFrame, name: str, *, partition_by: str | None = None, options: dict | None = None) -> DataFrame:
         writer = df.write.option("compression", "zstd").options(**(options or {}))
@@ -83,6 +88,12 @@ class Scratch:
         self.drop("")
 
 
+def release() -> None:
+    """Delete the intermediate tables of all operators that this program has called; their results must have been stored by then."""
+    while Scratch.made:
+        Scratch.made.pop().clear()
+
+
 def bloom_words(keys: DataFrame, key: Column, words: int = 1 << 16) -> DataFrame:
     """A Bloom filter as one row with one array of ``words`` longs (512 KiB at the default).
 
