@@ -1,8 +1,8 @@
 """SimHash near-duplicates: fingerprints, exact tiled comparison, components.
 
 Equal fingerprints are collapsed and dealt into tiles; a tile pair is compared with numpy's
-exclusive-or and bit counts, and pairs of tiles whose population counts differ by more than the
-radius never meet.  For a radius of at most 3 the tiles are first parted by bands: the 64 bits form
+exclusive-or and bit counts.  Pairs of tiles whose population counts differ by more than the
+radius never meet, and within a pair a block of rows meets only those of population counts within the radius.  For a radius of at most 3 the tiles are first parted by bands: the 64 bits form
 ``radius + 2`` bands, two linked fingerprints agree in at least two of them, so only tiles that
 share two bands are compared and no link is lost.  For a larger radius every tile pair within the
 radius of population counts is compared: exact, but the square of the distinct fingerprints, which
@@ -111,34 +111,51 @@ def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, width: int, wor
     return rows.mapInArrow(run, "doc_id long, fp long, wide binary, size long")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int, within: bool) -> tuple[list[int], list[int]]:
-    """Spanning forest of the links between two tiles (rows of 64-bit words), or within one."""
-    parent = list(range(len(a) + (0 if within else len(b))))
+#: Rows of a tile that are compared at once with those of like population counts.
+ROWS = 128
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    out: tuple[list[int], list[int]] = ([], [])
+def _join(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Make the labels of linked rows equal, each the smallest row of its component."""
+    while True:
+        a, b = labels[i], labels[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        low = np.minimum(a, b)
+        np.minimum.at(labels, np.maximum(a, b), low)
+        while (jumped := labels[labels]).tobytes() != labels.tobytes():
+            labels[:] = jumped
+
+
+def _forest(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the links between two tiles (rows of 64-bit words), or within one: rows of ``a`` and ``b`` joined as one list.
+
+    Rows are put in order of population counts.  A block of rows meets only the stretch of the other side whose
+    counts differ by at most the radius; the rest is skipped.
+    """
+    counts_a, counts_b = (np.bitwise_count(x[:, 0]).astype(np.int64) for x in (a, b))
+    order_a, order_b = np.argsort(counts_a, kind="stable"), np.argsort(counts_b, kind="stable")
+    first_a, first_b = a[order_a, 0], b[order_b, 0]
+    counts_a, counts_b = counts_a[order_a], counts_b[order_b]
     shift = 0 if within else len(a)
-    first_a, first_b = np.ascontiguousarray(a[:, 0]), np.ascontiguousarray(b[:, 0])
-    step = max(1, (1 << 17) // max(1, len(b)))
-    for lo in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(first_a[lo : lo + step, None] ^ first_b[None, :]) <= radius)
-        i += lo
+    labels = np.arange(shift + len(b))
+    for lo in range(0, len(a), ROWS):
+        hi = min(lo + ROWS, len(a))
+        start = int(np.searchsorted(counts_b, counts_a[lo] - radius, side="left"))
         if within:
-            i, j = i[upper := i < j], j[upper]
-        if a.shape[1] > 1 and len(i):
-            near = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= wide_radius
-            i, j = i[near], j[near]
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
-            if (p := root(x)) != (q := root(y + shift)):
-                parent[p] = q
-                out[0].append(x)
-                out[1].append(y)
-    return out
+            start = max(start, lo)
+        end = int(np.searchsorted(counts_b, counts_a[hi - 1] + radius, side="right"))
+        for at in range(start, end, TILE):
+            i, j = np.nonzero(np.bitwise_count(first_a[lo:hi, None] ^ first_b[None, at : min(at + TILE, end)]) <= radius)
+            i, j = order_a[i + lo], order_b[j + at]
+            if a.shape[1] > 1 and len(i):
+                near = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= wide_radius
+                i, j = i[near], j[near]
+            _join(labels, i, j + shift)
+    joined = np.nonzero(labels != np.arange(len(labels)))[0]
+    return joined, labels[joined]
 
 
 def _bands(radius: int) -> list[int]:
@@ -204,8 +221,9 @@ def links(fps: DataFrame, scratch: Scratch, *, radius: int, wide_radius: int = 0
                 ids_a, a = tile_of(x)
                 ids_b, b = tile_of(y) if y.is_valid else (ids_a, a)
                 i, j = _forest(a, b, radius, wide_radius, not y.is_valid)
-                us.append(ids_a[i])
-                vs.append(ids_b[j])
+                ids = np.concatenate([ids_a, ids_b]) if y.is_valid else ids_a
+                us.append(ids[i])
+                vs.append(ids[j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).astype(np.int64)) for z in (us, vs)], ["u", "v"])
 
     return small.where("size(a) > 1").unionByName(pairs).mapInArrow(run, "u long, v long")
