@@ -36,6 +36,8 @@ FIT_ROWS = 20_000
 #: A kept feature occurs in at least so many labelled training texts.
 LEAST_TEXTS = 6
 BLOCK = 1 << 12
+#: Gradient steps of the fit, and the weight of its ridge.
+STEPS, RIDGE = 600, 3e-5
 #: Characters hashed at once.
 CHUNK = 1 << 20
 
@@ -128,7 +130,7 @@ def _counts(train: DataFrame) -> DataFrame:
     return local_sums.groupBy("block").applyInArrow(add, "block int, held binary")
 
 
-def _fit(rows: np.ndarray, at: np.ndarray, y: np.ndarray, ratio: np.ndarray, rounds: int = 400, ridge: float = 3e-4) -> tuple[np.ndarray, float]:
+def _fit(rows: np.ndarray, at: np.ndarray, y: np.ndarray, ratio: np.ndarray, rounds: int = STEPS, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
     """Logistic regression on ratio-scaled, length-normalised features by accelerated gradient steps."""
     n, k = len(y), len(ratio)
     x = ratio[at] / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))[rows]
