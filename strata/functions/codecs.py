@@ -255,12 +255,12 @@ def _plain(x: Column) -> Column:
 
 def format_bytes(n: Column) -> Column:
     """A number of bytes for people, in the largest unit that it exceeds: whole multiples bare, two digits after the
-    point below 10 units, else one."""
+    point below 10 units, else one; halves go to the even digit."""
     out = F.concat(n.cast("string"), F.lit(" Bytes"))
     for k, unit in enumerate(UNITS[1:], 1):
         size = 1 << 10 * k
         x = n / F.lit(float(size))
-        shown = F.when(n % size == 0, (n / size).cast("long").cast("string")).when(x < 10, F.format_string("%.2f", x)).otherwise(F.format_string("%.1f", x))
+        shown = F.when(n % size == 0, (n / size).cast("long").cast("string")).when(x < 10, F.format_string("%.2f", F.bround(x, 2))).otherwise(F.format_string("%.1f", F.bround(x, 1)))
         out = F.when(n > size, F.concat(shown, F.lit(f" {unit}"))).otherwise(out)
     return out
 
