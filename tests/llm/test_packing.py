@@ -31,7 +31,6 @@ def sequential(lengths, size):
 
 CASES = {
     "even": (64, lambda rng: rng.integers(1, 65, 1500)),
-    "short": (64, lambda rng: np.full(700, 3)),
     "halves": (64, lambda rng: rng.integers(15, 33, 900)),
     "one token": (5, lambda rng: np.ones(12, dtype=int)),
     "hot": (32, lambda rng: np.append(np.full(4000, 9), rng.integers(1, 33, 300))),
